@@ -77,7 +77,8 @@ def main(sf_dir: str, names: list[str]) -> int:
             else:
                 diff = None if (n := len(df.collect())) else f"{n} rows"
         except Exception as e:  # report and go on with the next query
-            diff = f"{type(e).__name__}: {str(e)[:600]}"
+            causes = [line for line in str(e).splitlines() if line.startswith("Caused by") or "- object" in line or "- field" in line]
+            diff = f"{type(e).__name__}: {str(e)[:300]} ... {causes[:12]}"
         bad += diff is not None
         print(f"{'ok  ' if diff is None else 'BAD '} {name} {'' if name in sqls else '(rows only) '}{time.time() - start:.1f}s {diff or ''}", flush=True)
     print(f"{bad} bad")
