@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions.scalars import is_missing
@@ -179,36 +181,53 @@ def melt_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> D
     return df.unpivot(list(ids), list(metrics), "metric", "score")
 
 
+def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per pair of columns: rows with both values, and their centred sums and products.
+
+    Each task folds its Arrow batches into matrix products and returns one row per
+    pair; d * d aggregate expressions would outgrow generated code. Values are centred
+    on the column means first, so the sums do not lose digits.
+    """
+    means = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias(c) for c in cols]).first()
+    centre = np.array([means[c] if means[c] is not None else 0.0 for c in cols])
+    size = len(cols)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - centre
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            m = there.astype(float)
+            sums += [m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x]
+        a, b = np.tril_indices(size, -1)
+        yield pa.RecordBatch.from_pydict(
+            {"a": a.astype("int32"), "b": b.astype("int32"), **{k: v[a, b] for k, v in zip(names, sums)}}
+        )
+
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    schema = "a int, b int, " + ", ".join(f"{k} double" for k in names)
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(fold, schema)
+    return parts.groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in names])
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Lower triangle of the Pearson matrix; null where a column does not vary."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    x = {c: F.col(c).cast("double") for c in cols}
-    one = df.agg(
-        *[F.stddev_pop(x[c]).alias(f"s__{c}") for c in cols],
-        *[F.covar_pop(x[a], x[b]).alias(f"c__{a}__{b}") for a, b in pairs],
-    )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("feature_a"),
-                F.lit(b).alias("feature_b"),
-                F.try_divide(F.col(f"c__{a}__{b}"), F.col(f"s__{a}") * F.col(f"s__{b}")).alias("corr"),
-            )
-            for a, b in pairs
-        ]
+    """Lower triangle of the Pearson matrix over rows with both values; null where a
+    column does not vary."""
+    name = F.array(*[F.lit(c) for c in cols])
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    vx, vy = F.col("sxx") - F.try_divide(sx * sx, n), F.col("syy") - F.try_divide(sy * sy, n)
+    cov = F.col("sxy") - F.try_divide(sx * sy, n)
+    return _pair_moments(df, cols).select(
+        F.element_at(name, F.col("a") + 1).alias("feature_a"),
+        F.element_at(name, F.col("b") + 1).alias("feature_b"),
+        F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy)).alias("corr"),
     )
-    return one.select(F.explode(cells).alias("x")).select("x.*")
 
 
 def target_corr(df: DataFrame, target: str, cols: Sequence[str], n: int = 15) -> DataFrame:
     """Features by absolute correlation with the target, the ``n`` largest."""
-    y = F.col(target).cast("double")
-    x = {c: F.col(c).cast("double") for c in cols}
-    one = df.agg(
-        F.stddev_pop(y).alias("s__y"),
-        *[F.stddev_pop(x[c]).alias(f"{c}__s") for c in cols],
-        *[F.covar_pop(x[c], y).alias(f"{c}__c") for c in cols],
-    )
-    rows = _feature_rows(one, cols, ["s", "c"], keep=["s__y"])
-    scored = rows.select("feature", F.abs(F.try_divide("c", F.col("s") * F.col("s__y"))).alias("abs_corr"))
+    # The target goes last, so it is the first of each pair it is in.
+    pairs = corr_matrix(df, [*cols, target]).filter(F.col("feature_a") == target)
+    scored = pairs.select(F.col("feature_b").alias("feature"), F.abs("corr").alias("abs_corr"))
     return scored.orderBy(F.desc_nulls_last("abs_corr"), "feature").limit(n)

@@ -131,15 +131,20 @@ def validate_params(
 
 def validate_config(df: DataFrame, payload: str = "config") -> DataFrame:
     """Shape of JSON model configs: a ``model`` object with typed required fields."""
-    doc = F.try_parse_json(payload)
-    section = F.try_variant_get(doc, "$.model", "variant")
+    # Its own column: the text is parsed once, not once per field.
+    parsed = df.withColumn("_model", F.try_variant_get(F.try_parse_json(payload), "$.model", "variant"))
+    section = F.col("_model")
+    kinds = parsed.withColumns(
+        {f"_kind_{f}": F.schema_of_variant(F.try_variant_get(section, f"$.{f}", "variant")) for f in CONFIG_FIELDS}
+    )
     reasons = [F.when(section.isNull(), F.lit("missing:model"))]
     for field, kind in CONFIG_FIELDS.items():
-        found = F.schema_of_variant(F.try_variant_get(doc, f"$.model.{field}", "variant"))
+        found = F.col(f"_kind_{field}")
         right = found.startswith("OBJECT") if kind == "object" else found == "STRING"
         reasons.append(
             F.when(section.isNotNull() & found.isNull(), F.lit(f"missing:{field}")).when(
                 section.isNotNull() & ~right, F.lit(f"type:{field}")
             )
         )
-    return df.withColumn("reasons", F.array_compact(F.array(*reasons))).withColumn("valid", F.size("reasons") == 0)
+    checked = kinds.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    return checked.withColumn("valid", F.size("reasons") == 0).drop("_model", *[f"_kind_{f}" for f in CONFIG_FIELDS])

@@ -18,20 +18,26 @@ from riskengine.session import checkpointed, parallelism
 
 BUCKET = "_bucket"
 LOCAL_POSITION_BITS = (1 << 33) - 1
+MAX_BUCKETS = 8192
+MAX_SKETCHES = 256
 
 
-def cut_points(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
-    """Bucket borders per column from one mergeable sketch pass.
+def cut_points(
+    df: DataFrame, cols: Sequence[str], per_partition: int = 4, fraction: float = 0.01
+) -> dict[str, list[float]]:
+    """Bucket borders per column, at most ``MAX_BUCKETS`` numbers each, on the driver.
 
-    Returns at most ``buckets - 1`` numbers per column to the driver.
+    Borders come from a row sample because they only decide how even the buckets are:
+    every row is still counted in the bucket the borders give it. The sample is
+    gathered into few partitions first, so that one task merges few sketches.
     """
-    n = buckets or 4 * parallelism(df.sparkSession)
+    spark = df.sparkSession
+    n = min(MAX_BUCKETS, per_partition * parallelism(spark))
     probs = [i / n for i in range(1, n)]
-    sketch = df.agg(
-        *[
-            F.approx_percentile(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), probs, 10 * n).alias(c)
-            for c in cols
-        ]
+    values = [F.col(c).cast("double").alias(c) for c in cols]
+    sample = df.select(*values).sample(fraction, seed=17).repartition(min(MAX_SKETCHES, parallelism(spark)))
+    sketch = sample.agg(
+        *[F.approx_percentile(F.when(~F.isnan(c), F.col(c)), probs, 2 * n).alias(c) for c in cols]
     ).first()
     return {c: sorted(set(sketch[c] or [])) for c in cols}
 
@@ -125,7 +131,7 @@ def exact_quantiles(
     wanted rank; only the rows of those buckets are then shuffled and ordered.
     """
     by = list(by)
-    cuts = cut_points(df, cols, 16 * parallelism(df.sparkSession))
+    cuts = cut_points(df, cols, 16)
     binned = with_buckets(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), cols, cuts)
     cells = F.array(
         *[

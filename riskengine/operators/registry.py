@@ -13,11 +13,16 @@ RUN_LIMIT = 100
 
 
 def latest_manifest(df: DataFrame, stage: str | None = None, ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Newest manifest of each stage (or of one): an aggregate combined map-side."""
+    """Newest manifest of each stage (or of one).
+
+    The newest time per stage is a hash aggregate; only manifests of that time are
+    compared further.
+    """
     rest = [c for c in df.columns if c != "stage"]
     rows = df if stage is None else df.filter(F.col("stage") == stage)
-    newest = rows.groupBy("stage").agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_row"))
-    return newest.select("stage", *[f"_row.{c}" for c in rest])
+    newest = rows.groupBy("stage").agg(F.max(ts).alias(ts))
+    last = rows.join(newest, ["stage", ts], "left_semi").groupBy("stage")
+    return last.agg(F.max_by(F.struct(*rest), tie).alias("_row")).select("stage", *[f"_row.{c}" for c in rest])
 
 
 def query_runs(
@@ -48,11 +53,9 @@ def query_runs(
 
 def as_of(hist: DataFrame, key: str, value: str, version: int | Column) -> DataFrame:
     """Value of each key at a version: the newest entry not after it."""
-    return (
-        hist.filter(F.col("version") <= version)
-        .groupBy(key)
-        .agg(F.max_by(value, "version").alias(value), F.max("version").alias("version"))
-    )
+    known = hist.filter(F.col("version") <= version).select(key, value, "version")
+    newest = known.groupBy(key).agg(F.max("version").alias("version"))
+    return known.join(newest, [key, "version"], "left_semi").groupBy(key, "version").agg(F.max(value).alias(value))
 
 
 def params_as_of(hist: DataFrame, version: int | Column) -> DataFrame:

@@ -39,10 +39,10 @@ def load_totals(df: DataFrame, by: Sequence[str] = ("batch_date",), stored: str
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Newest row per key as an aggregate: copies of a hot key are combined before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[f"_row.{c}" for c in rest]).select(*df.columns)
+    """Newest row per key. The rank filter is applied per task before the shuffle too,
+    so copies of a hot key do not meet in one task."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def alert_chunks(df: DataFrame, size: int = ALERT_CHUNK, by: str = "batch_date", key: str = "event_id") -> DataFrame:

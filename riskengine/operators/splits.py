@@ -48,14 +48,14 @@ def split_two_way(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 4
 def _exact_cuts(df: DataFrame, key: str, weights: Mapping[str, float], seed: int) -> list[tuple[int, object] | None]:
     """The (hash, key) of the last row of every split but the final one.
 
-    Radix selection: count by the high 16 bits of the hash, then by the whole hash
+    Radix selection: count by the high 12 bits of the hash, then by the whole hash
     inside the one bucket that holds each border, then order the few rows sharing
     that hash. Every frame that reaches the driver has one row per border.
     """
     names = list(weights)[:-1]
     h = stable_hash(seed, key)
-    high = F.shiftright(h, 16)
-    # At most 65,536 rows from here on, whatever the input size.
+    high = F.shiftright(h, 20)
+    # At most 4,096 rows from here on (2**20 inside one bucket), whatever the input size.
     buckets = df.groupBy(high.alias("b")).agg(F.count("*").alias("n"))
     order = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     placed = buckets.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy())})
