@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions.scalars import is_missing
+from riskengine.operators.joins import small_side
 from riskengine.operators.ranking import exact_quantiles
 
 
@@ -108,7 +109,8 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram of each column within each class, borders per (column, class).
 
-    The borders (one row per class) come from one narrow pass and join back by class.
+    The borders (one row per class) come from one narrow pass and are broadcast back:
+    shuffling the rows by class would put a whole class into one task.
     """
     wide = df.select(by, *[F.col(c).cast("double").alias(c) for c in cols])
     edges = wide.groupBy(by).agg(
@@ -126,7 +128,7 @@ def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> Da
         ]
     )
     return (
-        wide.join(edges, by)
+        wide.join(small_side(edges), by)
         .select(by, F.explode(cells).alias("x"))
         .filter(F.col("x.bin").isNotNull())
         .groupBy(by, "x.feature", "x.bin")

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskengine.operators.joins import small_side
 from riskengine.session import checkpointed, parallelism
 
 BUCKET = "_bucket"
@@ -113,13 +114,17 @@ def rank_in_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], out
     pieces = placed.groupBy("_part", *by).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        *by, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
-    )
-    return (
-        placed.join(offsets, [*by, "_part"])
-        .withColumn(out, F.col("_pos") + F.col("_shift"))
-        .drop("_part", "_pos", "_shift")
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_part").alias("_by_part"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    # One piece per group and partition border: at most partitions + groups rows.
+    # Null-safe, so rows without a group keep their numbers.
+    same = F.col("_part") == F.col("_by_part")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    ranked = placed.join(small_side(offsets), same).withColumn(out, F.col("_pos") + F.col("_shift"))
+    return ranked.select(*df.columns, out)
 
 
 def exact_quantiles(
@@ -170,8 +175,10 @@ def exact_quantiles(
         .filter((F.col("at") >= 0) & (F.col("at") < F.col("n")))
         .drop("n")
     )
+    # Two rows per group, feature and quantile.
+    targets = small_side(targets)
     hit = (
-        long.join(targets.select(*group, "bucket").distinct(), [*group, "bucket"], "left_semi")
+        long.join(targets, [*group, "bucket"], "left_semi")
         .groupBy(*group, "bucket", "value")
         .agg(F.count("*").alias("n"))
     )

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskengine.operators.joins import small_side
+
 # Run fields kept beside the hyperparameters in the parameter map.
 RESERVED_PARAMS = ("experiment_id", "algorithm", "start_timestamp", "user", "dataset_version", "code_version")
 RUN_LIMIT = 100
@@ -108,8 +110,8 @@ def config_rows(runs: DataFrame, approver: str) -> DataFrame:
 def config_history(configs: DataFrame) -> DataFrame:
     """Per name: the current version, how many are archived, and the one a rollback restores.
 
-    The two newest versions come from a mergeable aggregate, so a name holding most
-    rows is combined before the shuffle.
+    The newest version per name is broadcast back to find the one before it, so a name
+    holding most rows stays spread over its tasks.
     """
     top = configs.groupBy("name").agg(
         F.max("version").alias("current_version"),
@@ -117,7 +119,7 @@ def config_history(configs: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
     )
     older = (
-        configs.join(top.select("name", "current_version"), "name")
+        configs.join(small_side(configs.groupBy("name").agg(F.max("version").alias("current_version"))), "name")
         .filter(F.col("version") < F.col("current_version"))
         .groupBy("name")
         .agg(F.max("version").alias("previous_version"), F.max_by("config", "version").alias("previous_config"))
