@@ -96,3 +96,10 @@ def error_text(kind: Column, message: Column, cause_kind: Column, cause: Column)
         F.concat(F.lit("(caused by "), cause_kind, F.lit(": "), F.coalesce(cause, none), F.lit(")")),
     )
     return F.concat_ws(" ", F.concat(kind, F.lit(": "), F.coalesce(message, none)), tail)
+
+
+def run_id(algorithm: Column, created: Column, key: Column) -> Column:
+    """Experiment id ``algorithm-yyyyMMdd-HHmmss-xxxxxxxx``; the tail is a hash of the key,
+    so a repeated job names a run the same way."""
+    tail = F.substring(F.md5(key.cast("string")), 1, 8)
+    return F.concat_ws("-", algorithm, F.date_format(created, "yyyyMMdd-HHmmss"), tail)

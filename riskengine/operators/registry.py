@@ -64,6 +64,20 @@ def params_as_of(hist: DataFrame, version: int | Column) -> DataFrame:
     return as_of(hist, "path", "value", version)
 
 
+def current_params(hist: DataFrame) -> dict[str, str]:
+    """Newest value of each parameter, for an estimator: a handful of names, no row data."""
+    newest = as_of(hist, "path", "value", F.lit(2**63 - 1))
+    return {r["path"]: r["value"] for r in newest.filter(F.col("value").isNotNull()).collect()}
+
+
+def param_rows(runs: DataFrame) -> DataFrame:
+    """History rows that make each run's hyperparameters current, versioned by the run."""
+    return runs.select(
+        F.explode(F.map_filter("params", lambda k, _: ~k.isin(*RESERVED_PARAMS))).alias("path", "value"),
+        F.col("run_id").alias("version"),
+    )
+
+
 def rollback(hist: DataFrame, version: int, new_version: Column | int) -> DataFrame:
     """History rows that restore the values of ``version``; keys without a value are left alone."""
     old = params_as_of(hist, version).filter(F.col("value").isNotNull())

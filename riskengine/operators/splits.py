@@ -10,7 +10,8 @@ from riskengine.functions.scalars import stable_hash, stable_unit
 
 DEFAULT_WEIGHTS = {"train": 0.70, "validation": 0.15, "test": 0.15}
 WEIGHT_TOLERANCE = 0.001
-ROLLOUT_PERCENTS = (1, 10, 50, 100)
+# Stage -> (challenger percent, hours at that stage).
+ROLLOUT_STAGES = {1: (1, 24), 2: (10, 48), 3: (50, 72), 4: (100, 0)}
 
 
 def check_weights(weights: Mapping[str, float]) -> None:
@@ -147,19 +148,24 @@ def assign_arm(df: DataFrame, key: str, challenger_pct: int = 10, seed: str = "a
 
 
 def rollout_counts(
-    df: DataFrame, key: str, percents: Sequence[int] = ROLLOUT_PERCENTS, seed: str = "ab"
+    df: DataFrame, key: str, stages: Mapping[int, tuple[int, int]] = ROLLOUT_STAGES, seed: str = "ab"
 ) -> DataFrame:
     """Units per arm at each rollout stage: one pass, one counter per stage."""
     slot = stable_hash(seed, key) % 100
     one = df.agg(
-        F.count("*").alias("total"), *[F.count_if(slot < p).alias(f"c{i}") for i, p in enumerate(percents)]
+        F.count("*").alias("total"), *[F.count_if(slot < pct).alias(f"c{i}") for i, (pct, _) in stages.items()]
     )
-    stages = F.array(
+    rows = F.array(
         *[
-            F.struct(F.lit(i + 1).alias("stage"), F.lit(p).alias("challenger_pct"), F.col(f"c{i}").alias("challenger"))
-            for i, p in enumerate(percents)
+            F.struct(
+                F.lit(i).alias("stage"),
+                F.lit(pct).alias("challenger_pct"),
+                F.lit(hours).alias("hours"),
+                F.col(f"c{i}").alias("challenger"),
+            )
+            for i, (pct, hours) in stages.items()
         ]
     )
-    return one.select("total", F.explode(stages).alias("s")).select(
-        "s.stage", "s.challenger_pct", "s.challenger", (F.col("total") - F.col("s.challenger")).alias("champion")
+    return one.select("total", F.explode(rows).alias("s")).select(
+        "s.*", (F.col("total") - F.col("s.challenger")).alias("champion")
     )

@@ -349,9 +349,9 @@ ORACLES: dict[str, str] = {
         FROM cards""",
     ),
     "ab_assign": over("latency", sql="SELECT event_id, arm FROM latency"),
-    "ab_rollout_counts": f"""SELECT stage, challenger_pct, cast(count_if(slot < challenger_pct) AS bigint) AS challenger,
+    "ab_rollout_counts": f"""SELECT stage, challenger_pct, hours, cast(count_if(slot < challenger_pct) AS bigint) AS challenger,
         cast(count_if(slot >= challenger_pct) AS bigint) AS champion FROM (SELECT {UNIT.format(seed='ab')} % 100 AS slot FROM events),
-        (VALUES (1, 1), (2, 10), (3, 50), (4, 100)) AS p(stage, challenger_pct) GROUP BY ALL""",
+        (VALUES (1, 1, 24), (2, 10, 48), (3, 50, 72), (4, 100, 0)) AS p(stage, challenger_pct, hours) GROUP BY ALL""",
     # features
     "feat_time": over(
         "cards_time",
@@ -689,6 +689,12 @@ ORACLES: dict[str, str] = {
           FROM runs WINDOW g AS (PARTITION BY experiment_name), o AS (PARTITION BY experiment_name ORDER BY run_id))
         WHERE rn = 1""",
     ),
+    "reg_promote": """SELECT path, count(*) AS n, max(version) AS version, max_by(value, version) AS value FROM (
+          SELECT version, unnest(['objective', 'num_round', 'max_depth', 'eta', 'subsample', 'colsample_bytree']) AS path,
+            unnest(['binary:logistic', cast(o_custkey AS varchar), cast(o_custkey % 25 AS varchar), cast(o_orderkey % 120 / 100.0::double AS varchar),
+              '0.8', '0.8']) AS value
+          FROM (SELECT *, o_orderkey AS version FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 25 BETWEEN 1 AND 20
+            AND o_orderkey % 120 > 0 AND o_orderkey % 120 <= 100 AND o_custkey BETWEEN 1 AND 1000)) GROUP BY path""",
     "exp_merge_results": over(
         "trials", "model_metrics",
         sql="""SELECT * FROM (SELECT 'hyperparameter_tuning' AS section, round(accuracy, 6) AS best_score, max_depth,
@@ -715,7 +721,8 @@ ORACLES: dict[str, str] = {
         concat('{"event_id":', event_id, ',"event_type":"', t, '"}') AS j_encoded, cast(k AS bigint) AS j_decoded,
         CASE WHEN v > 50 THEN v ELSE 0 END AS v_default,
         concat('StageError: ', t, CASE WHEN v > 60 THEN ' (caused by IOError: disk)' WHEN v > 50
-          THEN ' (caused by IOError: No error message)' ELSE '' END) AS s_error
+          THEN ' (caused by IOError: No error message)' ELSE '' END) AS s_error,
+        concat(t, '-', strftime(ts, '%Y%m%d-%H%M%S'), '-', substr(md5(cast(event_id AS varchar)), 1, 8)) AS s_run_id
         FROM (SELECT *, value AS v, event_type AS t, json_extract_string(props, '$.k') AS k FROM events)""",
     # streaming
     "stream_scored": over(

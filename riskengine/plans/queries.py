@@ -22,6 +22,7 @@ from riskengine.operators import (
     training as ML,
 )
 from riskengine.plans.prepare import prepare
+from riskengine.plans.promote import promote
 from riskengine.session import work_dir
 from riskengine.sources import readers as RD, sinks as SK, tables as T
 from riskengine.streaming import arrivals as ST
@@ -279,8 +280,8 @@ def _(spark, d):
     return P.dynamic_threshold(rows, "amount", "new_customer", "good_history").select("event_id", "threshold")
 
 
-@query("dq_param_rules")
-def _(spark, d):
+def _param_runs(spark, d) -> DataFrame:
+    """Runs with full parameter maps, some of them out of range, mistyped or incomplete."""
     status = F.col("o_orderstatus")
     params = F.create_map(
         F.lit("objective"), F.lit("binary:logistic"),
@@ -290,10 +291,20 @@ def _(spark, d):
         F.lit("subsample"), F.when(status == "P", "abc").otherwise("0.8"),
         F.lit("colsample_bytree"), F.when(status != "F", "0.8"),
     )
-    rows = T.table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("run_id"), F.map_filter(params, lambda _, v: v.isNotNull()).alias("params")
+    return T.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("run_id"),
+        F.col("o_orderpriority").alias("experiment_name"),
+        status.alias("algorithm"),
+        F.col("o_orderdate").alias("created"),
+        F.map_filter(params, lambda _, v: v.isNotNull()).alias("params"),
+        F.create_map(F.lit("accuracy"), (F.col("o_orderkey") % 1000) / F.lit(1000.0)).alias("metrics"),
     )
-    return Q.validate_params(rows).select("run_id", F.array_join("reasons", ";").alias("reasons"), "valid")
+
+
+@query("dq_param_rules")
+def _(spark, d):
+    rows = Q.validate_params(_param_runs(spark, d))
+    return rows.select("run_id", F.array_join("reasons", ";").alias("reasons"), "valid")
 
 
 @query("dq_config_rules")
@@ -770,16 +781,16 @@ def _(spark, d):
     )
 
 
-def _amount_scorer():
-    def score(amount: pd.Series, k: pd.Series) -> pd.Series:
-        return (amount - 20.0) / 200.0 + k / 1000.0
-
-    return score
-
-
 @query("ml_score_udf")
 def _(spark, d):
-    out = ML.score_with(T.tx(spark, d).select("event_id", "amount", "k"), _amount_scorer, ["amount", "k"])
+    # A nested function travels to the tasks by value.
+    def make_scorer():
+        def score(amount: pd.Series, k: pd.Series) -> pd.Series:
+            return (amount - 20.0) / 200.0 + k / 1000.0
+
+        return score
+
+    out = ML.score_with(T.tx(spark, d).select("event_id", "amount", "k"), make_scorer, ["amount", "k"])
     return out.select("event_id", F.round("score", 6).alias("score"))
 
 
@@ -860,6 +871,16 @@ def _(spark, d):
     )
 
 
+@query("reg_promote")
+def _(spark, d):
+    out = work_dir(spark, "registry")
+    promote(_param_runs(spark, d), out, "risk-team")
+    hist = spark.read.parquet(f"{out}/params")
+    return hist.groupBy("path").agg(
+        F.count("*").alias("n"), F.max("version").alias("version"), F.max_by("value", "version").alias("value")
+    )
+
+
 @query("reg_config_history")
 def _(spark, d):
     out = RG.config_history(RG.config_rows(T.runs(spark, d), "risk-team"))
@@ -938,6 +959,7 @@ def _(spark, d):
             F.lit("StageError"), F.col("event_type"),
             F.when(v > 50, F.lit("IOError")), F.when(v > 60, F.lit("disk")),
         ).alias("s_error"),
+        X.run_id(F.col("event_type"), ts, F.col("event_id")).alias("s_run_id"),
     )
 
 

@@ -66,3 +66,28 @@ def test_latest_manifest_breaks_time_ties(spark):
     rows = spark.createDataFrame([("s", 1, 10, "a"), ("s", 2, 10, "b"), ("t", 3, 5, "c")], "stage string, event_id long, ts long, p string")
     assert {r.stage: r.p for r in RG.latest_manifest(rows).collect()} == {"s": "b", "t": "c"}
     assert RG.latest_manifest(rows, "t").first().p == "c"
+
+
+def test_current_params_feed_an_estimator(spark):
+    from riskengine.operators.training import gbt
+
+    hist = spark.createDataFrame([("eta", "0.3", 1), ("eta", "0.4", 2), ("max_depth", "3", 1)], "path string, value string, version long")
+    est = gbt(RG.current_params(hist))
+    assert (est.getStepSize(), est.getMaxDepth(), est.getMaxIter()) == (0.4, 3, 150)
+
+
+def test_promote_writes_valid_runs_and_returns_the_rest(spark):
+    from riskengine.plans.promote import promote
+    from riskengine.session import work_dir
+
+    good = {"objective": "binary:logistic", "num_round": "9", "max_depth": "3", "eta": "0.1", "subsample": "0.8", "colsample_bytree": "0.8"}
+    when = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(1, "e", "gbt", when, good, {"accuracy": 0.9}), (2, "e", "gbt", when, {**good, "eta": "7"}, {"accuracy": 0.9})],
+        "run_id long, experiment_name string, algorithm string, created timestamp_ntz, params map<string,string>, metrics map<string,double>",
+    )
+    out = work_dir(spark, "registry")
+    refused = promote(rows, out, "lead").collect()
+    assert [(r.run_id, r.reasons) for r in refused] == [(2, ["range:eta"])]
+    assert {r.path: r.value for r in spark.read.parquet(f"{out}/params").collect()} == good
+    assert spark.read.parquet(f"{out}/configs").count() == spark.read.parquet(f"{out}/events").count() == 1

@@ -66,7 +66,7 @@ def test_integrity_finds_loss_overlap_and_additions(spark):
 
 def test_rollout_is_monotone(spark):
     rows = spark.range(5000)
-    arms = [set(r.id for r in S.assign_arm(rows, "id", p).filter("arm = 'challenger'").collect()) for p in S.ROLLOUT_PERCENTS]
+    arms = [set(r.id for r in S.assign_arm(rows, "id", p).filter("arm = 'challenger'").collect()) for p, _ in S.ROLLOUT_STAGES.values()]
     assert all(a <= b for a, b in zip(arms, arms[1:])) and len(arms[-1]) == 5000
     counts = [r.challenger for r in S.rollout_counts(rows, "id").orderBy("stage").collect()]
     assert counts == [len(a) for a in arms]
