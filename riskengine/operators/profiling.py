@@ -41,23 +41,24 @@ def schema_report(df: DataFrame) -> DataFrame:
 def dataset_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, missing, missing %, min, max, mean, sample std and exact median per column."""
     types = dict(df.dtypes)
-    aggs: list[Column] = []
-    for c in cols:
-        x = F.when(~is_missing(c, types[c]), F.col(c).cast("double"))
-        aggs += [
-            F.count(x).alias(f"{c}__count"),
-            (F.count("*") - F.count(x)).alias(f"{c}__missing"),
-            F.round(F.coalesce(F.try_divide((F.count("*") - F.count(x)) * F.lit(100.0), F.count("*")), F.lit(0.0)), 2).alias(
-                f"{c}__missing_pct"
-            ),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-        ]
-    stats = ["count", "missing", "missing_pct", "min", "max", "mean", "std"]
-    rows = _feature_rows(df.agg(*aggs), cols, stats)
-    median = exact_quantiles(df, cols, [0.5]).withColumnRenamed("q0", "median")
+    # Missing values become null once, before the aggregates that all skip nulls.
+    clean = df.select(*[F.when(~is_missing(c, types[c]), F.col(c)).cast("double").alias(c) for c in cols])
+    found = {"count": F.count, "min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp}
+    one = clean.agg(
+        F.count("*").alias("_rows"), *[fn(F.col(c)).alias(f"{c}__{s}") for c in cols for s, fn in found.items()]
+    )
+    missing = F.col("_rows") - F.col("count")
+    rows = _feature_rows(one, cols, list(found), keep=["_rows"]).select(
+        "feature",
+        "count",
+        missing.alias("missing"),
+        F.round(F.coalesce(F.try_divide(missing * F.lit(100.0), F.col("_rows")), F.lit(0.0)), 2).alias("missing_pct"),
+        "min",
+        "max",
+        "mean",
+        "std",
+    )
+    median = exact_quantiles(clean, cols, [0.5]).withColumnRenamed("q0", "median")
     return rows.join(median, "feature", "left")
 
 
@@ -97,49 +98,49 @@ def class_balance(df: DataFrame, label: str = "Class", by: Sequence[str] = ()) -
     )
 
 
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Equal-width bin 0..bins-1; the top edge falls into the last bin, and a column
-    with one value is spread one unit wide around it."""
-    flat = high == low
-    left = F.when(flat, low - 0.5).otherwise(low)
-    width = F.when(flat, F.lit(1.0)).otherwise(high - low)
-    return F.least(F.floor((value - left) / width * bins), F.lit(bins - 1)).cast("int")
-
-
 def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram of each column within each class, borders per (column, class).
 
-    The borders (one row per class) come from one narrow pass and are broadcast back:
-    shuffling the rows by class would put a whole class into one task.
+    The top edge falls into the last bin; a column with one value gets a bin range one
+    unit wide around it. The borders (one row per class) come from one narrow pass and
+    are broadcast back: shuffling the rows by class would put a class into one task.
     """
-    wide = df.select(by, *[F.col(c).cast("double").alias(c) for c in cols])
-    edges = wide.groupBy(by).agg(
+    types = dict(df.dtypes)
+    # NaN counts as missing: it would become the upper border.
+    value = {c: F.when(~is_missing(c, types[c]), F.col(c)).cast("double").alias(c) for c in cols}
+    wide = df.select(by, *value.values())
+    ends = wide.groupBy(by).agg(
         *[F.min(c).alias(f"{c}__low") for c in cols], *[F.max(c).alias(f"{c}__high") for c in cols]
     )
-    cells = F.array(
+    flat = {c: F.when(F.col(f"{c}__low") == F.col(f"{c}__high"), 0.5).otherwise(0.0) for c in cols}
+    ends = small_side(
+        ends.select(
+            by,
+            *[(F.col(f"{c}__low") - flat[c]).alias(f"{c}__low") for c in cols],
+            *[(F.col(f"{c}__high") + flat[c]).alias(f"{c}__high") for c in cols],
+        )
+    )
+    binned = wide.join(ends, by).select(
+        by,
         *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                _bin(F.col(c), F.col(f"{c}__low"), F.col(f"{c}__high"), bins).alias("bin"),
-                F.col(f"{c}__low").alias("low"),
-                F.col(f"{c}__high").alias("high"),
-            )
+            (F.least(F.width_bucket(c, f"{c}__low", f"{c}__high", F.lit(bins)), F.lit(bins)) - 1).cast("int").alias(c)
             for c in cols
-        ]
+        ],
     )
-    return (
-        wide.join(small_side(edges), by)
-        .select(by, F.explode(cells).alias("x"))
-        .filter(F.col("x.bin").isNotNull())
-        .groupBy(by, "x.feature", "x.bin")
-        .agg(F.count("*").alias("n"), F.first("x.low").alias("low"), F.first("x.high").alias("high"))
+    counts = (
+        binned.unpivot([by], list(cols), "feature", "bin")
+        .filter(F.col("bin").isNotNull())
+        .groupBy(by, "feature", "bin")
+        .agg(F.count("*").alias("n"))
     )
+    borders = _feature_rows(ends, cols, ["low", "high"], keep=[by])
+    return counts.join(borders, [by, "feature"])
 
 
 def density(df: DataFrame, col: str, by: str, bins: int) -> DataFrame:
     """Histogram scaled so that each class has area 1."""
     h = histogram(df, [col], by, bins)
-    width = F.when(F.col("high") == F.col("low"), F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / bins
+    width = (F.col("high") - F.col("low")) / bins
     total = F.sum("n").over(Window.partitionBy(by))  # at most ``bins`` rows per class
     return h.select(by, "bin", "n", (F.col("n") / (total * width)).alias("density"))
 

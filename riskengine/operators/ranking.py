@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskengine.operators.joins import small_side
 from riskengine.session import checkpointed, parallelism
@@ -23,8 +23,13 @@ MAX_BUCKETS = 8192
 MAX_SKETCHES = 256
 
 
+def literal_array(items: Sequence[str], dtype: str) -> Column:
+    """A constant array from one text literal: thousands of literals would slow planning."""
+    return F.split(F.lit(",".join(items)), ",").cast(f"array<{dtype}>")
+
+
 def cut_points(
-    df: DataFrame, cols: Sequence[str], per_partition: int = 4, fraction: float = 0.01
+    df: DataFrame, cols: Sequence[str], buckets: int | None = None, fraction: float = 0.01
 ) -> dict[str, list[float]]:
     """Bucket borders per column, at most ``MAX_BUCKETS`` numbers each, on the driver.
 
@@ -33,8 +38,8 @@ def cut_points(
     gathered into few partitions first, so that one task merges few sketches.
     """
     spark = df.sparkSession
-    n = min(MAX_BUCKETS, per_partition * parallelism(spark))
-    probs = [i / n for i in range(1, n)]
+    n = min(MAX_BUCKETS, buckets or 4 * parallelism(spark))
+    probs = literal_array([str(i / n) for i in range(1, n)], "double")
     values = [F.col(c).cast("double").alias(c) for c in cols]
     sample = df.select(*values).sample(fraction, seed=17).repartition(min(MAX_SKETCHES, parallelism(spark)))
     sketch = sample.agg(
@@ -47,14 +52,68 @@ def with_buckets(df: DataFrame, cols: Sequence[str], cuts: Mapping[str, list[flo
     """Add ``<col><suffix>``: the number of the value bucket, by binary search in the JVM."""
     binned = [c for c in cols if cuts[c]]
     if binned:
-        # The outer borders are infinite, so every number has a bucket; NaN gets the last one.
+        # The outer borders are infinite, so every number has a bucket.
         df = Bucketizer(
             splitsArray=[[float("-inf"), *cuts[c], float("inf")] for c in binned],
             inputCols=binned,
             outputCols=[c + suffix for c in binned],
             handleInvalid="keep",
         ).transform(df)
-    return df.withColumns({c + suffix: F.lit(0.0) for c in cols if c not in binned})
+    number = {c: F.col(c + suffix) if c in binned else F.lit(0.0) for c in cols}
+    # Null and NaN have none.
+    return df.withColumns(
+        {c + suffix: F.when(F.col(c).isNotNull() & ~F.isnan(c), n) for c, n in number.items()}
+    )
+
+
+def fine_buckets(spark: SparkSession) -> int:
+    """Buckets where only a few are looked into: more of them leave fewer rows to order."""
+    return min(MAX_BUCKETS, max(256, 16 * parallelism(spark)))
+
+
+def _cell(i: int, bucket: Column) -> Column:
+    """Number of a bucket of the i-th column: one integer key in place of name and bucket."""
+    return (F.lit(i * MAX_BUCKETS) + bucket).cast("int")
+
+
+def cell_counts(binned: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows per (by, feature, cell): narrow, combined map-side."""
+    cells = binned.select(*by, *[_cell(i, F.col(c + BUCKET)).alias(c) for i, c in enumerate(cols)])
+    counts = cells.unpivot(list(by), list(cols), "feature", "cell").filter(F.col("cell").isNotNull())
+    names = F.array(*[F.lit(c) for c in cols])
+    return (
+        counts.groupBy(*by, "cell")
+        .agg(F.count("*").alias("n"))
+        .withColumn("feature", F.element_at(names, F.floor(F.col("cell") / MAX_BUCKETS).cast("int") + 1))
+    )
+
+
+def values_in_cells(
+    binned: DataFrame,
+    cols: Sequence[str],
+    wanted: DataFrame,
+    by: Sequence[str] = (),
+    keep: Sequence[str] = (),
+    **counters: Column,
+) -> DataFrame:
+    """(by, cell, value, counters...) for each distinct value in the wanted cells.
+
+    There are at most ``MAX_BUCKETS`` cells per column; they become one yes/no array per
+    column, so other values are dropped before rows are made of them.
+    """
+    cells = [r["cell"] for r in wanted.select("cell").distinct().collect()]
+    found = []
+    for i, c in enumerate(cols):
+        numbers = {n - i * MAX_BUCKETS for n in cells if n // MAX_BUCKETS == i}
+        if numbers:
+            asked = literal_array(["true" if n in numbers else "false" for n in range(max(numbers) + 1)], "boolean")
+            bucket = F.col(c + BUCKET)
+            pair = F.struct(_cell(i, bucket).alias("cell"), F.col(c).alias("value"))
+            found.append(F.when(F.get(asked, bucket.cast("int")), pair))
+    if not found:
+        found = [F.lit(None).cast("struct<cell:int,value:double>")]
+    long = binned.select(*by, *keep, F.explode(F.array_compact(F.array(*found))).alias("x")).select(*by, *keep, "x.*")
+    return long.groupBy(*by, "cell", "value").agg(*[c.alias(name) for name, c in counters.items()])
 
 
 def running_totals(
@@ -136,25 +195,13 @@ def exact_quantiles(
     wanted rank; only the rows of those buckets are then shuffled and ordered.
     """
     by = list(by)
-    cuts = cut_points(df, cols, 16)
-    binned = with_buckets(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), cols, cuts)
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(c + BUCKET).alias("bucket"))
-            for c in cols
-        ]
-    )
-    long = (
-        binned.select(*by, F.explode(cells).alias("x"))
-        .select(*by, "x.feature", "x.value", "x.bucket")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
     group = [*by, "feature"]
-    counts = long.groupBy(*group, "bucket").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*group)
-    counts = counts.withColumns(
+    cuts = cut_points(df, cols, fine_buckets(df.sparkSession))
+    binned = with_buckets(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), cols, cuts)
+    w = Window.partitionBy(*group)  # one row per bucket
+    counts = cell_counts(binned, cols, by).withColumns(
         {
-            "upto": F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)),
+            "upto": F.sum("n").over(w.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)),
             "total": F.sum("n").over(w),
         }
     )
@@ -170,21 +217,17 @@ def exact_quantiles(
     )
     targets = (
         counts.withColumn("w", wanted)
-        .select(*group, "bucket", "n", "upto", F.col("w.q").alias("q"), sides.alias("s"))
-        .select(*group, "bucket", "q", "s.share", (F.col("s.at") - (F.col("upto") - F.col("n"))).alias("at"), "n")
+        .select(*group, "cell", "n", "upto", F.col("w.q").alias("q"), sides.alias("s"))
+        .select(*group, "cell", "q", "s.share", (F.col("s.at") - (F.col("upto") - F.col("n"))).alias("at"), "n")
         .filter((F.col("at") >= 0) & (F.col("at") < F.col("n")))
         .drop("n")
     )
     # Two rows per group, feature and quantile.
     targets = small_side(targets)
-    hit = (
-        long.join(targets, [*group, "bucket"], "left_semi")
-        .groupBy(*group, "bucket", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    inside = Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    hit = values_in_cells(binned, cols, targets, by, n=F.count("*"))
+    inside = Window.partitionBy(*by, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = hit.withColumn("upto", F.sum("n").over(inside))
-    picked = placed.join(targets, [*group, "bucket"]).filter(
+    picked = placed.join(targets, [*by, "cell"]).filter(
         (F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("n"))
     )
     return picked.groupBy(*group).agg(

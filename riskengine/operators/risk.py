@@ -7,7 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions import scalars as X
-from riskengine.operators.ranking import BUCKET, cut_points, rank_in_group, running_totals, with_buckets
+from riskengine.operators.joins import small_side
+from riskengine.operators.ranking import (
+    cell_counts,
+    cut_points,
+    fine_buckets,
+    rank_in_group,
+    values_in_cells,
+    with_buckets,
+)
+from riskengine.session import checkpointed
 
 ALERT_CHUNK = 100
 BASELINE_DAYS = 30
@@ -169,24 +178,55 @@ def drift_alerts(drifted: DataFrame) -> DataFrame:
 def ks_two_sample(df: DataFrame, cols: Sequence[str], is_recent: Column, alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature with its asymptotic p-value.
 
-    Values are first combined to one row per distinct value; the running counts go
-    through value buckets, so one feature spans many tasks.
+    Bucket counts give the exact gap at every bucket border, and with it the largest gap
+    a bucket can hide. Only buckets that could beat the best border are ordered by value,
+    so the result is exact while most rows are only counted.
     """
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], is_recent.cast("int").alias("_recent"))
-    binned = with_buckets(wide, cols, cut_points(wide, cols))
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(c + BUCKET).alias(BUCKET)) for c in cols]
-    )
-    per_value = (
-        binned.select("_recent", F.explode(cells).alias("x"))
-        .filter(F.col("x.value").isNotNull() & ~F.isnan("x.value"))
-        .groupBy("x.feature", f"x.{BUCKET}", "x.value")
-        .agg(F.count_if(F.col("_recent") == 0).alias("a"), F.count_if(F.col("_recent") == 1).alias("b"))
-    )
-    run = running_totals(per_value, "value", {"ra": "a", "rb": "b"}, by=["feature"])
-    gap = F.abs(F.try_divide("ra", "ra_total") - F.try_divide("rb", "rb_total"))
-    stat = run.groupBy("feature").agg(
-        F.first("ra_total").alias("n_baseline"), F.first("rb_total").alias("n_recent"), F.max(gap).alias("statistic")
+    cuts = cut_points(wide, cols, fine_buckets(df.sparkSession))
+    binned = with_buckets(wide.filter(F.col("_recent").isNotNull()), cols, cuts)
+    per_bucket = cell_counts(binned, cols, ["_recent"]).groupBy("feature", "cell").agg(
+        F.sum(F.when(F.col("_recent") == 0, F.col("n")).otherwise(0)).alias("a"),
+        F.sum(F.when(F.col("_recent") == 1, F.col("n")).otherwise(0)).alias("b"),
+    )
+    feature = Window.partitionBy("feature")  # one row per bucket
+    before = feature.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    borders = per_bucket.withColumns(
+        {
+            "a0": F.coalesce(F.sum("a").over(before), F.lit(0)),
+            "b0": F.coalesce(F.sum("b").over(before), F.lit(0)),
+            "na": F.sum("a").over(feature),
+            "nb": F.sum("b").over(feature),
+        }
+    )
+
+    def share(part: str, whole: str) -> Column:
+        return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+
+    gap = share("a0", "na") - share("b0", "nb")
+    borders = borders.withColumn("at_border", F.abs(gap)).withColumns(
+        {
+            "best": F.max("at_border").over(feature),
+            "reach": F.greatest(gap + share("a", "na"), share("b", "nb") - gap),
+        }
+    )
+    borders = checkpointed(borders)
+    # A little slack keeps rounding from dropping the bucket that holds the maximum.
+    open_buckets = borders.filter(F.col("reach") >= F.col("best") * (1 - 1e-9) - 1e-15)
+    per_value = values_in_cells(
+        binned, cols, open_buckets, keep=["_recent"],
+        a=F.count_if(F.col("_recent") == 0), b=F.count_if(F.col("_recent") == 1),
+    )
+    inside = Window.partitionBy("cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    run = per_value.select("cell", F.sum("a").over(inside).alias("ra"), F.sum("b").over(inside).alias("rb"))
+    placed = run.join(small_side(open_buckets.select("feature", "cell", "a0", "b0", "na", "nb")), "cell")
+    moved = placed.withColumns({"ra": F.col("ra") + F.col("a0"), "rb": F.col("rb") + F.col("b0")})
+    found = moved.groupBy("feature").agg(F.max(F.abs(share("ra", "na") - share("rb", "nb"))).alias("inner_gap"))
+    at_borders = borders.groupBy("feature").agg(
+        F.first("na").alias("n_baseline"), F.first("nb").alias("n_recent"), F.max("at_border").alias("border_gap")
+    )
+    stat = at_borders.join(found, "feature", "left").select(
+        "feature", "n_baseline", "n_recent", F.greatest("border_gap", "inner_gap").alias("statistic")
     )
     size = F.col("n_baseline") * F.col("n_recent") / (F.col("n_baseline") + F.col("n_recent"))
     lam = F.sqrt(size) * F.col("statistic")

@@ -428,14 +428,14 @@ ORACLES: dict[str, str] = {
     },
     "prof_histogram": over(
         "cards_long",
-        sql="""SELECT Class, feature, cast(least(floor((value - lo) / (hi - lo) * 50), 49) AS int) AS bin, count(*) AS n FROM (
+        sql="""SELECT Class, feature, cast(least(floor(50 * (value - lo) / (hi - lo)), 49) AS int) AS bin, count(*) AS n FROM (
           SELECT *, min(value) OVER (PARTITION BY Class, feature) AS lo, max(value) OVER (PARTITION BY Class, feature) AS hi
           FROM cards_long) GROUP BY ALL""",
     ),
     "prof_density": over(
         "cards_time",
         sql="""SELECT Class, bin, n, round(n / (sum(n) OVER (PARTITION BY Class) * ((hi - lo) / 24)), 6) AS density FROM (
-          SELECT Class, cast(least(floor((value - lo) / (hi - lo) * 24), 23) AS int) AS bin, lo, hi, count(*) AS n FROM (
+          SELECT Class, cast(least(floor(24 * (value - lo) / (hi - lo)), 23) AS int) AS bin, lo, hi, count(*) AS n FROM (
             SELECT Class, hour::double AS value, min(hour) OVER (PARTITION BY Class)::double AS lo,
             max(hour) OVER (PARTITION BY Class)::double AS hi FROM cards_time) GROUP BY ALL)""",
     ),

@@ -14,8 +14,21 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide tables generate methods the JIT will not compile (over 8000 bytes); past that
+    # size Spark should use its split-up code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Settings the registered queries rely on in any session.
+QUERY_CONF = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Give a session from elsewhere the settings results and speed depend on."""
+    for name in QUERY_CONF:
+        spark.conf.set(name, DEFAULTS[name])
+    return spark
+
 
 def local_session(cores: int | str = 8, app: str = "riskengine", **conf: str) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
@@ -72,5 +85,5 @@ def checkpointed(df):
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Partitions a full shuffle should use in this session."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions of a full shuffle: the session's setting, at least one per core."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
