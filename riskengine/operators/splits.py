@@ -46,45 +46,52 @@ def split_two_way(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 4
     return split_bernoulli(df, key, {"train": 1.0 - test_size, "test": test_size}, seed)
 
 
+def _at_border(need: str, borders: Sequence[tuple[int, int, int]], group: str) -> Column:
+    """One row per border (i, group, need) whose counted range [need - n, need) it ends in."""
+    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(g).alias("g"), F.lit(k).alias("need")) for i, g, k in borders])
+    upto, n = F.col(need), F.col("n")
+    return F.explode(F.filter(rows, lambda e: (e.g == F.col(group)) & (e.need <= upto) & (e.need > upto - n)))
+
+
 def _exact_cuts(df: DataFrame, key: str, weights: Mapping[str, float], seed: int) -> list[tuple[int, object] | None]:
     """The (hash, key) of the last row of every split but the final one.
 
-    Radix selection: count by the high 12 bits of the hash, then by the whole hash
-    inside the one bucket that holds each border, then order the few rows sharing
-    that hash. Every frame that reaches the driver has one row per border.
+    Radix selection in three narrow passes for all borders together: count by the high
+    12 bits of the hash, by the whole hash inside the buckets that hold a border, then
+    order the few rows sharing a border's hash. The driver sees one row per border.
     """
-    names = list(weights)[:-1]
-    h = stable_hash(seed, key)
-    high = F.shiftright(h, 20)
-    # At most 4,096 rows from here on (2**20 inside one bucket), whatever the input size.
-    buckets = df.groupBy(high.alias("b")).agg(F.count("*").alias("n"))
+    cuts: list[tuple[int, object] | None] = [None] * (len(weights) - 1)
+    keys = df.select(F.col(key).alias("k"), stable_hash(seed, key).alias("h")).withColumn("b", F.shiftright("h", 20))
+
+    # At most 4,096 rows, whatever the input size.
     order = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    placed = buckets.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy())})
-    sizes = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.floor(F.col("total") * F.lit(weights[n])).alias("size")) for i, n in enumerate(names)]
-    )
+    total = F.sum("n").over(Window.partitionBy())
+    buckets = keys.groupBy("b").agg(F.count("*").alias("n"))
+    buckets = buckets.withColumns({"upto": F.sum("n").over(order), "total": total})
     # Sizes add up border by border: floor(n * w1), floor(n * w1) + floor(n * w2), ...
-    ends = F.transform(
-        F.sequence(F.lit(0), F.lit(len(names) - 1)),
-        lambda i: F.struct(
-            i.alias("i"),
-            F.aggregate(F.filter(sizes, lambda s: s.i <= i), F.lit(0).cast("bigint"), lambda a, s: a + s.size).alias("end"),
-        ),
-    )
-    hits = (
-        placed.select("b", "n", "upto", F.explode(ends).alias("e"))
-        .select("b", F.col("e.i").alias("i"), "e.end", (F.col("e.end") - F.col("upto") + F.col("n")).alias("need"), "n")
-        .filter((F.col("end") > 0) & (F.col("need") > 0) & (F.col("need") <= F.col("n")))
-        .collect()
+    sizes = [F.floor(F.col("total") * F.lit(w)) for w in list(weights.values())[:-1]]
+    ends = [sum(sizes[: i + 1], F.lit(0).cast("bigint")) for i in range(len(sizes))]
+    rows = F.array(*[F.struct(F.lit(i).alias("i"), end.alias("end")) for i, end in enumerate(ends)])
+    inside = F.filter(rows, lambda e: (e.end > F.col("upto") - F.col("n")) & (e.end <= F.col("upto")))
+    hits = buckets.withColumn("e", F.explode(inside)).select(
+        "e.i", "b", (F.col("e.end") - F.col("upto") + F.col("n")).alias("need")
     )
-    cuts: list[tuple[int, object] | None] = [None] * len(names)
-    for hit in hits:
-        inner = df.filter(high == hit["b"]).groupBy(h.alias("h")).agg(F.count("*").alias("n"))
-        run = inner.withColumn("upto", F.sum("n").over(order.orderBy("h")))
-        row = run.filter(F.col("upto") >= hit["need"]).orderBy("h").select("h", "upto", "n").first()
-        rest = hit["need"] - (row["upto"] - row["n"])
-        last = df.filter(h == row["h"]).select(key).orderBy(key).limit(rest).agg(F.max(key)).first()[0]
-        cuts[hit["i"]] = (row["h"], last)
+    borders = [tuple(r) for r in hits.collect()]
+    if not borders:
+        return cuts
+
+    # At most 2**20 hashes per bucket.
+    near = keys.filter(F.col("b").isin([b for _, b, _ in borders])).groupBy("b", "h").agg(F.count("*").alias("n"))
+    run = Window.partitionBy("b").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    found = near.withColumn("upto", F.sum("n").over(run)).withColumn("e", _at_border("upto", borders, "b"))
+    found = found.select("e.i", "h", (F.col("e.need") - F.col("upto") + F.col("n")).alias("need"))
+    borders = [tuple(r) for r in found.collect()]
+
+    # Rows with the same 32-bit hash: about one in four billion.
+    same = keys.filter(F.col("h").isin([h for _, h, _ in borders])).withColumn("n", F.lit(1))
+    placed = same.withColumn("upto", F.row_number().over(Window.partitionBy("h").orderBy("k")))
+    for row in placed.withColumn("e", _at_border("upto", borders, "h")).select("e.i", "h", "k").collect():
+        cuts[row["i"]] = (row["h"], row["k"])
     return cuts
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from riskengine.operators.projections import banded
 from riskengine.operators.quality import accepted, rejected
@@ -16,13 +17,15 @@ from riskengine.sources.readers import read_daily
 def run_day(tx: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, history_from: str, day: str) -> DataFrame:
     """Score a batch and bring store, alerts and daily metrics up to date; returns the drift rows.
 
-    The batch is scored once: alerts and totals read the stored rows of the day.
+    The batch is scored once: the scores are kept for both writes, and alerts and totals
+    read the stored rows of the day.
     """
     spark = tx.sparkSession
     out = out.rstrip("/")
-    scored = score(tx)
+    scored = score(tx).persist(StorageLevel.MEMORY_AND_DISK)
     overwrite_days(rejected(scored, "fraud_score"), f"{out}/quarantine")
     upsert_scored(banded(accepted(scored, "fraud_score")), f"{out}/scored")
+    scored.unpersist()
 
     stored = spark.read.parquet(f"{out}/scored").filter(F.col("batch_date") == F.lit(day).cast("date"))
     publish_alerts(alert_messages(alert_chunks(stored)), f"{out}/alerts")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from riskengine.operators.projections import target_first
 from riskengine.operators.risk import latest_per_key
@@ -58,13 +59,18 @@ def upsert_scored(new: DataFrame, path: str, keys: Sequence[str] = STORE_KEYS) -
     """
     spark = new.sparkSession
     existing = read_store(spark, path, new)
-    if existing is None:
-        existing = new.limit(0)
-    else:
-        # One value per calendar day reaches the driver; literals prune the store's folders.
-        days = [r[0] for r in new.select("batch_date").distinct().collect()]
-        existing = existing.filter(F.col("batch_date").isin(days))
-    merged = checkpointed(upsert_frame(new, existing.select(*new.columns), keys))
+    # Read twice below: kept, so that scoring runs once.
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if existing is None:
+            existing = new.limit(0)
+        else:
+            # One value per calendar day reaches the driver; literals prune the store's folders.
+            days = [r[0] for r in new.select("batch_date").distinct().collect()]
+            existing = existing.filter(F.col("batch_date").isin(days))
+        merged = checkpointed(upsert_frame(new, existing.select(*new.columns), keys))
+    finally:
+        new.unpersist()
     overwrite_days(merged, path, sort=["fraud_score"])
 
 

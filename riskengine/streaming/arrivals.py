@@ -42,8 +42,7 @@ def stream_score(
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            upsert_scored(banded(score(batch)), store)
+        upsert_scored(banded(score(batch)), store)
 
     _run(stream, write, checkpoint)
 
@@ -56,9 +55,7 @@ def stream_daily(stream: DataFrame, out: str, checkpoint: str, lateness: str = L
     days = risk_summary(stream.withWatermark(ts, lateness).withColumn("day", F.window(ts, "1 day")), by=["day"])
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("batch_date", F.col("day.start").cast("date")).drop("day")
-        if not rows.isEmpty():
-            overwrite_days(rows, out)
+        overwrite_days(batch.withColumn("batch_date", F.col("day.start").cast("date")).drop("day"), out)
 
     _run(days, write, checkpoint, mode="update")
 
