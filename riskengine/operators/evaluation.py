@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions.scalars import ratio_or_zero
+from riskengine.operators.joins import group_join
 from riskengine.operators.ranking import BUCKET, LOCAL_POSITION_BITS, cut_points, running_totals, with_buckets
 from riskengine.session import parallelism
 
@@ -239,7 +240,7 @@ def f_beta(metrics: DataFrame, betas: Mapping[str, float]) -> DataFrame:
 
 
 def metrics_by(df: DataFrame, group: str = "algorithm") -> DataFrame:
-    return classification_metrics(df, [group]).join(auc_roc(df, [group]), group)
+    return group_join(classification_metrics(df, [group]), auc_roc(df, [group]), [group], "left")
 
 
 def metrics_with_auc(df: DataFrame) -> DataFrame:

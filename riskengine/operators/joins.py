@@ -1,7 +1,10 @@
-"""Join helper: broadcast only what a count has shown to be small."""
+"""Join helpers: broadcast only what a count has shown to be small; keep rows without a group."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 20_000
@@ -18,3 +21,11 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of per-group figures in which null is a group of its own, as in ``groupBy``."""
+    other = {k: f"_right_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in other.items()]
+    joined = left.join(right.withColumnsRenamed(other), functools.reduce(lambda a, b: a & b, same), how)
+    return joined.drop(*other.values())

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions.scalars import is_missing
-from riskengine.operators.joins import small_side
+from riskengine.operators.joins import group_join, small_side
 from riskengine.operators.ranking import exact_quantiles
 
 
@@ -120,7 +120,7 @@ def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> Da
             *[(F.col(f"{c}__high") + flat[c]).alias(f"{c}__high") for c in cols],
         )
     )
-    binned = wide.join(ends, by).select(
+    binned = group_join(wide, ends, [by]).select(
         by,
         *[
             (F.least(F.width_bucket(c, f"{c}__low", f"{c}__high", F.lit(bins)), F.lit(bins)) - 1).cast("int").alias(c)
@@ -134,7 +134,7 @@ def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> Da
         .agg(F.count("*").alias("n"))
     )
     borders = _feature_rows(ends, cols, ["low", "high"], keep=[by])
-    return counts.join(borders, [by, "feature"])
+    return group_join(counts, borders, [by, "feature"])
 
 
 def density(df: DataFrame, col: str, by: str, bins: int) -> DataFrame:
@@ -149,7 +149,7 @@ def value_share(df: DataFrame, col: str, by: str) -> DataFrame:
     """Share of each value within its class."""
     counts = df.groupBy(by, col).agg(F.count("*").alias("n"))
     totals = counts.groupBy(by).agg(F.sum("n").alias("total"))
-    return counts.join(totals, by).select(by, col, "n", (F.col("n") / F.col("total")).alias("share"))
+    return group_join(counts, totals, [by]).select(by, col, "n", (F.col("n") / F.col("total")).alias("share"))
 
 
 def rate_by(df: DataFrame, flag: str, label: str) -> DataFrame:
@@ -172,7 +172,7 @@ def latency_stats(df: DataFrame, by: str, value: str = "latency_ms") -> DataFram
     tails = exact_quantiles(df, [value], [0.95, 0.99], by=[by]).select(
         by, F.col("q0").alias("p95_ms"), F.col("q1").alias("p99_ms")
     )
-    return mean.join(tails, by)
+    return group_join(mean, tails, [by], "left")
 
 
 def pivot_mean(df: DataFrame, index: Sequence[str], col: str, values: Sequence, value: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from riskengine.operators.joins import small_side
+from riskengine.operators.joins import group_join, small_side
 from riskengine.session import checkpointed, parallelism
 
 BUCKET = "_bucket"
@@ -143,7 +143,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_{o}").over(before), F.lit(0)).alias(f"_{o}_before") for o in sums],
         *[F.sum(f"_{o}").over(Window.partitionBy(*by)).alias(f"{o}_total") for o in sums],
     )
-    joined = local.join(offsets, [*by, bucket])
+    joined = group_join(local, offsets, [*by, bucket]) if by else local.join(offsets, bucket)
     return joined.withColumns({o: F.col(o) + F.col(f"_{o}_before") for o in sums}).drop(
         *[f"_{o}_before" for o in sums]
     )
@@ -173,16 +173,10 @@ def rank_in_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], out
     pieces = placed.groupBy("_part", *by).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        F.col("_part").alias("_by_part"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        *by, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
     # One piece per group and partition border: at most partitions + groups rows.
-    # Null-safe, so rows without a group keep their numbers.
-    same = F.col("_part") == F.col("_by_part")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    ranked = placed.join(small_side(offsets), same).withColumn(out, F.col("_pos") + F.col("_shift"))
+    ranked = group_join(placed, small_side(offsets), [*by, "_part"]).withColumn(out, F.col("_pos") + F.col("_shift"))
     return ranked.select(*df.columns, out)
 
 
@@ -227,7 +221,7 @@ def exact_quantiles(
     hit = values_in_cells(binned, cols, targets, by, n=F.count("*"))
     inside = Window.partitionBy(*by, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = hit.withColumn("upto", F.sum("n").over(inside))
-    picked = placed.join(targets, [*by, "cell"]).filter(
+    picked = group_join(placed, targets, [*by, "cell"]).filter(
         (F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("n"))
     )
     return picked.groupBy(*group).agg(

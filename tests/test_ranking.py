@@ -27,7 +27,7 @@ def test_rank_in_group_equals_window(spark, parts):
 
 
 def test_running_totals_any_cuts(spark):
-    rows = hot_rows(spark).filter("g is not null").groupBy("g", "v").agg(F.count("*").alias("n"))
+    rows = hot_rows(spark).groupBy("g", "v").agg(F.count("*").alias("n"))
     want = {
         (r.g, r.v): (r.run, r.total)
         for r in rows.select(
@@ -74,3 +74,17 @@ def test_small_side_checks_the_size(spark):
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert big is rows
     assert small.count() == 50
+
+
+def test_rows_without_a_group_are_kept(spark):
+    from riskengine.operators import evaluation as E, profiling as PR
+
+    rows = hot_rows(spark).select("g", "v", (F.xxhash64("id", "v") % 2 == 0).cast("int").alias("label"), F.col("v").alias("score"))
+    groups = rows.select("g").distinct().count()
+    assert rows.filter("g is null").count() > 0
+    assert PR.latency_stats(rows, "g", "v").count() == groups
+    assert PR.latency_stats(rows, "g", "v").filter("g is null and p95_ms is null").isEmpty()
+    assert E.metrics_by(rows, "g").count() == groups
+    assert E.metrics_by(rows, "g").filter("auc is null").isEmpty()
+    assert PR.histogram(rows, ["v"], "g", 4).agg(F.sum("n")).first()[0] == 4000
+    assert PR.value_share(rows, "label", "g").agg(F.sum("n")).first()[0] == 4000
