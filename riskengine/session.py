@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -27,6 +28,9 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Give a session from elsewhere the settings results and speed depend on."""
     for name in QUERY_CONF:
         spark.conf.set(name, DEFAULTS[name])
+    if _is_local(spark):  # workers started elsewhere than in this folder must find the package
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark
 
 
