@@ -33,7 +33,7 @@ FROM hits JOIN sized USING (item_id) WHERE n_found >= 0.8 * n - 1e-9
     "op10_quality_rules": f"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS ws,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{WORD}')) AS ls FROM d),
+             [x for x in string_split(text, chr(10)) if regexp_matches(x, '{WORD}')] AS ls FROM d),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 7], ' ') AS s
         FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS p FROM w)),
 twice AS (SELECT doc_id, p FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
