@@ -371,7 +371,7 @@ def _removed(length: int):
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, spans): for texts that have any, runs (low..high) of places whose ``length`` bytes occur elsewhere.
 
-    ``rows``: (key, text), one row per key.
+    ``rows``: (key, text); rows of one key have one text.
     """
     found = stored(
         map_batches(
@@ -428,9 +428,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     bytes go if they have ``length`` or more. Other columns are not looked at.
     """
     texts = id_text(docs, id_col, text_col)
-    # Rows get a name of their own, kept in a written table: equal rows must stay apart.
-    named = texts.withColumn("key", F.unhex(F.replace(F.expr("uuid()"), F.lit("-"), F.lit(""))))
-    named = stored(named, "named")
+    # Rows equal in id and text share a key; each is a text of its own all the same, as its runs are counted.
+    named = texts.withColumn(
+        "key", F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.lit(b"\0"), "text")))
+    )
     spans = repeated_spans(named.select("key", "text"), length)
     id_type = texts.schema["doc_id"].dataType.simpleString()
     return map_batches(
