@@ -10,6 +10,11 @@ HIGH_RISK = 0.8
 MEDIUM_RISK = 0.5
 
 
+def number(col: str | Column) -> Column:
+    """A numeric column as double with NaN as null: NaN would sort above and compare greater than every number."""
+    return F.nanvl((F.col(col) if isinstance(col, str) else col).cast("double"), F.lit(None).cast("double"))
+
+
 def stable_hash(seed: int | str, *key: Column | str) -> Column:
     """32-bit hash of a row key as BIGINT; equal on every run and partitioning."""
     text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k) if isinstance(k, str) else k for k in key])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskengine.functions.scalars import ratio_or_zero
+from riskengine.functions.scalars import number, ratio_or_zero
 from riskengine.operators.joins import group_join
 from riskengine.operators.ranking import BUCKET, LOCAL_POSITION_BITS, cut_points, running_totals, with_buckets
 from riskengine.session import parallelism
@@ -24,6 +24,20 @@ FALSE_POSITIVE_COST = 10.0
 FALSE_NEGATIVE_COST = 500.0
 
 
+def _usable() -> Column:
+    return F.col("label").isNotNull() & number("score").isNotNull()
+
+
+def valid_rows(df: DataFrame) -> DataFrame:
+    """Rows that can be judged: a label, and a score that is a number. The one rule of every metric here."""
+    return df.filter(_usable())
+
+
+def invalid_count(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many rows the metrics leave out."""
+    return df.groupBy(*by).agg(F.count_if(~_usable()).alias("n_invalid"))
+
+
 def _positive() -> Column:
     return F.col("label") == 1
 
@@ -49,7 +63,7 @@ def _with_rates(counts: DataFrame) -> DataFrame:
 def classification_metrics(df: DataFrame, by: Sequence[str] = (), threshold: float = DECISION) -> DataFrame:
     pos, hit = _positive(), _flagged(threshold)
     return _with_rates(
-        df.groupBy(*by).agg(
+        valid_rows(df).groupBy(*by).agg(
             F.count_if(pos & hit).alias("tp"),
             F.count_if(~pos & hit).alias("fp"),
             F.count_if(~pos & ~hit).alias("tn"),
@@ -77,7 +91,7 @@ def auc_step(df: DataFrame, tie_key: str = "id") -> DataFrame:
     """
     order = [F.col("score").desc(), F.col(tie_key).asc()]
     placed = (
-        df.select("score", tie_key, F.col("label").cast("int").alias("label"))
+        valid_rows(df).select("score", tie_key, F.col("label").cast("int").alias("label"))
         .repartitionByRange(parallelism(df.sparkSession), *order)
         .sortWithinPartitions(*order)
         .withColumns(
@@ -108,7 +122,7 @@ def auc_step(df: DataFrame, tie_key: str = "id") -> DataFrame:
 
 def _per_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score with its positives, negatives and value bucket."""
-    scores = df.select(*by, F.col("score").cast("double").alias("score"), "label")
+    scores = valid_rows(df).select(*by, F.col("score").cast("double").alias("score"), "label")
     binned = with_buckets(scores, ["score"], cut_points(scores, ["score"]))
     return (
         binned.withColumnRenamed("score" + BUCKET, BUCKET)
@@ -193,7 +207,7 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     """
     ts = sorted(thresholds)
     reached = sum((F.when(F.col("score") >= t, 1).otherwise(0) for t in ts), F.lit(0))
-    groups = df.groupBy(reached.alias("k")).agg(
+    groups = valid_rows(df).groupBy(reached.alias("k")).agg(
         F.count_if(_positive()).alias("p"), F.count_if(~_positive()).alias("q")
     )
     one = groups.agg(
@@ -293,9 +307,13 @@ def join_pred_actual(pred: DataFrame, actual: DataFrame, key: str = "id") -> Dat
 
 
 def compare_arms(champion: DataFrame, challenger: DataFrame, key: str = "id") -> DataFrame:
-    """Two scorers on the same records: mean absolute difference and agreement at 0.5."""
+    """Two scorers on the same records: mean absolute difference and agreement at 0.5.
+
+    Records that either arm left without a number are not compared.
+    """
     a, b = F.col("a"), F.col("b")
     both = champion.select(key, F.col("score").alias("a")).join(challenger.select(key, F.col("score").alias("b")), key)
+    both = both.filter(number("a").isNotNull() & number("b").isNotNull())
     return both.agg(
         F.count("*").alias("n"),
         F.avg("a").alias("avg_champion"),

@@ -71,7 +71,7 @@ def anova_f(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
 
 
 def select_k_best(df: DataFrame, label: str, features: Sequence[str], k: int = 20) -> DataFrame:
-    return anova_f(df, label, features).orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
+    return anova_f(df, label, features).orderBy(F.nanvl("f_score", F.lit(None).cast("double")).desc_nulls_last(), "feature").limit(k)
 
 
 def feature_vector(df: DataFrame, names: Sequence[str], col: str = "features") -> DataFrame:

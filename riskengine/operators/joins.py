@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only what a count has shown to be small; keep rows without a group."""
+"""Join helper: keep rows without a group. The join strategy is left to adaptive execution."""
 
 from __future__ import annotations
 
@@ -7,21 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 20_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` as a broadcast side when it has at most ``max_rows`` rows.
-
-    Meant for per-group figures (borders, offsets, newest versions) that join back to
-    all rows on a skewed key. Beyond the limit the frame is returned as it is, and the
-    join shuffles with adaptive skew handling.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
 
 def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join of per-group figures in which null is a group of its own, as in ``groupBy``."""

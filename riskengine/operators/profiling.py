@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskengine.functions.scalars import is_missing
-from riskengine.operators.joins import group_join, small_side
+from riskengine.functions.scalars import is_missing, number
+from riskengine.operators.joins import group_join
 from riskengine.operators.ranking import exact_quantiles
 
 
@@ -63,10 +63,10 @@ def dataset_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, std, min, quartiles and max per column, typed."""
+    """Count, mean, std, min, quartiles and max per column, typed; NaN counts as missing."""
     aggs: list[Column] = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [
             F.count(x).alias(f"{c}__count"),
             F.avg(x).alias(f"{c}__mean"),
@@ -103,7 +103,7 @@ def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> Da
 
     The top edge falls into the last bin; a column with one value gets a bin range one
     unit wide around it. The borders (one row per class) come from one narrow pass and
-    are broadcast back: shuffling the rows by class would put a class into one task.
+    join back: adaptive execution broadcasts them, or splits a class that is too large.
     """
     types = dict(df.dtypes)
     # NaN counts as missing: it would become the upper border.
@@ -113,12 +113,10 @@ def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 50) -> Da
         *[F.min(c).alias(f"{c}__low") for c in cols], *[F.max(c).alias(f"{c}__high") for c in cols]
     )
     flat = {c: F.when(F.col(f"{c}__low") == F.col(f"{c}__high"), 0.5).otherwise(0.0) for c in cols}
-    ends = small_side(
-        ends.select(
-            by,
-            *[(F.col(f"{c}__low") - flat[c]).alias(f"{c}__low") for c in cols],
-            *[(F.col(f"{c}__high") + flat[c]).alias(f"{c}__high") for c in cols],
-        )
+    ends = ends.select(
+        by,
+        *[(F.col(f"{c}__low") - flat[c]).alias(f"{c}__low") for c in cols],
+        *[(F.col(f"{c}__high") + flat[c]).alias(f"{c}__high") for c in cols],
     )
     binned = group_join(wide, ends, [by]).select(
         by,

@@ -34,7 +34,7 @@ def by_batch_date(df: DataFrame, day: str | dt.date) -> DataFrame:
 
 def by_batch_date_min_score(df: DataFrame, day: str | dt.date, score: float) -> DataFrame:
     """Partition pruning on the day; files sorted by score let row groups be skipped."""
-    return by_batch_date(df, day).filter(F.col("fraud_score") >= score)
+    return by_batch_date(df, day).filter((F.col("fraud_score") >= score) & ~F.isnan("fraud_score"))
 
 
 def failed_runs(df: DataFrame, n: int = 20, pattern: str = "FAILED") -> DataFrame:

@@ -14,13 +14,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from riskengine.operators.joins import group_join, small_side
+from riskengine.operators.joins import group_join
 from riskengine.session import checkpointed, parallelism
 
 BUCKET = "_bucket"
 LOCAL_POSITION_BITS = (1 << 33) - 1
 MAX_BUCKETS = 8192
-MAX_SKETCHES = 256
 
 
 def literal_array(items: Sequence[str], dtype: str) -> Column:
@@ -34,14 +33,14 @@ def cut_points(
     """Bucket borders per column, at most ``MAX_BUCKETS`` numbers each, on the driver.
 
     Borders come from a row sample because they only decide how even the buckets are:
-    every row is still counted in the bucket the borders give it. The sample is
-    gathered into few partitions first, so that one task merges few sketches.
+    every row is still counted in the bucket the borders give it. Each task sends one
+    sketch per column; no sampled row is shuffled.
     """
     spark = df.sparkSession
     n = min(MAX_BUCKETS, buckets or 4 * parallelism(spark))
     probs = literal_array([str(i / n) for i in range(1, n)], "double")
     values = [F.col(c).cast("double").alias(c) for c in cols]
-    sample = df.select(*values).sample(fraction, seed=17).repartition(min(MAX_SKETCHES, parallelism(spark)))
+    sample = df.select(*values).sample(fraction, seed=17)
     sketch = sample.agg(
         *[F.approx_percentile(F.when(~F.isnan(c), F.col(c)), probs, 2 * n).alias(c) for c in cols]
     ).first()
@@ -176,7 +175,7 @@ def rank_in_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], out
         *by, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
     # One piece per group and partition border: at most partitions + groups rows.
-    ranked = group_join(placed, small_side(offsets), [*by, "_part"]).withColumn(out, F.col("_pos") + F.col("_shift"))
+    ranked = group_join(placed, offsets, [*by, "_part"]).withColumn(out, F.col("_pos") + F.col("_shift"))
     return ranked.select(*df.columns, out)
 
 
@@ -216,8 +215,8 @@ def exact_quantiles(
         .filter((F.col("at") >= 0) & (F.col("at") < F.col("n")))
         .drop("n")
     )
-    # Two rows per group, feature and quantile.
-    targets = small_side(targets)
+    # Two rows per group, feature and quantile, read twice below.
+    targets = checkpointed(targets)
     hit = values_in_cells(binned, cols, targets, by, n=F.count("*"))
     inside = Window.partitionBy(*by, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = hit.withColumn("upto", F.sum("n").over(inside))

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskengine.operators.joins import small_side
+from riskengine.functions import scalars as X
+
 
 # Run fields kept beside the hyperparameters in the parameter map.
 RESERVED_PARAMS = ("experiment_id", "algorithm", "start_timestamp", "user", "dataset_version", "code_version")
@@ -17,14 +18,12 @@ RUN_LIMIT = 100
 def latest_manifest(df: DataFrame, stage: str | None = None, ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """Newest manifest of each stage (or of one).
 
-    The newest time per stage is a hash aggregate; only manifests of that time are
-    compared further.
+    One aggregation: each task sends its newest row per stage, nothing else is shuffled.
     """
     rest = [c for c in df.columns if c != "stage"]
     rows = df if stage is None else df.filter(F.col("stage") == stage)
-    newest = rows.groupBy("stage").agg(F.max(ts).alias(ts))
-    last = rows.join(newest, ["stage", ts], "left_semi").groupBy("stage")
-    return last.agg(F.max_by(F.struct(*rest), tie).alias("_row")).select("stage", *[f"_row.{c}" for c in rest])
+    last = rows.filter(F.col(ts).isNotNull()).groupBy("stage")
+    return last.agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_row")).select("stage", *[f"_row.{c}" for c in rest])
 
 
 def query_runs(
@@ -56,8 +55,8 @@ def query_runs(
 def as_of(hist: DataFrame, key: str, value: str, version: int | Column) -> DataFrame:
     """Value of each key at a version: the newest entry not after it."""
     known = hist.filter(F.col("version") <= version).select(key, value, "version")
-    newest = known.groupBy(key).agg(F.max("version").alias("version"))
-    return known.join(newest, [key, "version"], "left_semi").groupBy(key, "version").agg(F.max(value).alias(value))
+    newest = known.filter(F.col("version").isNotNull()).groupBy(key).agg(F.max(F.struct("version", value)).alias("_new"))
+    return newest.select(key, "_new.version", f"_new.{value}")
 
 
 def params_as_of(hist: DataFrame, version: int | Column) -> DataFrame:
@@ -124,8 +123,8 @@ def config_rows(runs: DataFrame, approver: str) -> DataFrame:
 def config_history(configs: DataFrame) -> DataFrame:
     """Per name: the current version, how many are archived, and the one a rollback restores.
 
-    The newest version per name is broadcast back to find the one before it, so a name
-    holding most rows stays spread over its tasks.
+    The newest version per name joins back to find the one before it; adaptive execution
+    broadcasts that side or splits a name that holds most rows.
     """
     top = configs.groupBy("name").agg(
         F.max("version").alias("current_version"),
@@ -133,7 +132,7 @@ def config_history(configs: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
     )
     older = (
-        configs.join(small_side(configs.groupBy("name").agg(F.max("version").alias("current_version"))), "name")
+        configs.join(configs.groupBy("name").agg(F.max("version").alias("current_version")), "name")
         .filter(F.col("version") < F.col("current_version"))
         .groupBy("name")
         .agg(F.max("version").alias("previous_version"), F.max_by("config", "version").alias("previous_config"))
@@ -155,15 +154,15 @@ def compare_methods(trials: DataFrame, score: str = "accuracy") -> DataFrame:
 
 
 def top_trials(df: DataFrame, k: int = 10, score: str = "accuracy", order: str = "trial_no") -> DataFrame:
-    return df.orderBy(F.desc(score), F.asc(order)).limit(k)
+    return df.orderBy(X.number(score).desc_nulls_last(), F.asc(order)).limit(k)
 
 
 def best_by(df: DataFrame, metric: str, order: str, by: Sequence[str] = ()) -> DataFrame:
-    """Row with the highest metric; the first one in ``order`` wins a tie."""
-    best = F.max_by(F.struct(*df.columns), F.struct(F.col(metric), (-F.col(order)).alias("_o"))).alias("_row")
+    """Row with the highest metric; the first one in ``order`` wins a tie, NaN and null never win."""
+    best = F.max_by(F.struct(*df.columns), F.struct(X.number(metric).alias("_m"), (-F.col(order)).alias("_o"))).alias("_row")
     return df.groupBy(*by).agg(best).filter(F.col("_row").isNotNull()).select("_row.*")
 
 
 def winner(df: DataFrame, metric: str = "recall", order: str = "algorithm") -> DataFrame:
     """Model row with the highest metric, by name on a tie: a top-1, no full sort."""
-    return df.orderBy(F.desc(metric), F.asc(order)).limit(1)
+    return df.orderBy(X.number(metric).desc_nulls_last(), F.asc(order)).limit(1)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskengine.functions import scalars as X
-from riskengine.operators.joins import small_side
 from riskengine.operators.ranking import (
     cell_counts,
     cut_points,
@@ -25,8 +24,11 @@ HIGH_RISK_DRIFT = 0.05
 
 
 def risk_summary(df: DataFrame, by: Sequence[str] = ("batch_date",), score: str = "fraud_score") -> DataFrame:
-    """Band counts, total and mean score per batch; with no ``by``, zeros on no rows."""
-    s = F.col(score)
+    """Band counts, total and mean score per batch; with no ``by``, zeros on no rows.
+
+    Rows with a null or NaN score are in the total, in no band and not in the mean.
+    """
+    s = X.number(score)
     return df.groupBy(*by).agg(
         F.count("*").alias("total"),
         F.count_if(X.is_high(s)).alias("high"),
@@ -219,7 +221,7 @@ def ks_two_sample(df: DataFrame, cols: Sequence[str], is_recent: Column, alpha:
     )
     inside = Window.partitionBy("cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     run = per_value.select("cell", F.sum("a").over(inside).alias("ra"), F.sum("b").over(inside).alias("rb"))
-    placed = run.join(small_side(open_buckets.select("feature", "cell", "a0", "b0", "na", "nb")), "cell")
+    placed = run.join(open_buckets.select("feature", "cell", "a0", "b0", "na", "nb"), "cell")
     moved = placed.withColumns({"ra": F.col("ra") + F.col("a0"), "rb": F.col("rb") + F.col("b0")})
     found = moved.groupBy("feature").agg(F.max(F.abs(share("ra", "na") - share("rb", "nb"))).alias("inner_gap"))
     at_borders = borders.groupBy("feature").agg(

@@ -23,13 +23,15 @@ def run_day(tx: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, hi
     spark = tx.sparkSession
     out = out.rstrip("/")
     scored = score(tx).persist(StorageLevel.MEMORY_AND_DISK)
-    overwrite_days(rejected(scored, "fraud_score"), f"{out}/quarantine")
+    overwrite_days(rejected(scored, "fraud_score"), f"{out}/quarantine", days=[day])
     upsert_scored(banded(accepted(scored, "fraud_score")), f"{out}/scored")
     scored.unpersist()
 
     stored = spark.read.parquet(f"{out}/scored").filter(F.col("batch_date") == F.lit(day).cast("date"))
-    publish_alerts(alert_messages(alert_chunks(stored)), f"{out}/alerts")
-    summary = risk_pct(risk_summary(stored))
+    publish_alerts(alert_messages(alert_chunks(stored)), f"{out}/alerts", days=[day])
+    # A day without rows has a record too, of zeros.
+    the_day = spark.range(1).select(F.lit(day).cast("date").alias("batch_date"))
+    summary = risk_pct(the_day.join(risk_summary(stored), "batch_date", "left").na.fill(0))
     write_daily(
         summary.select("total", "avg_score", "high_pct", "medium_pct", "low_pct", "batch_date"), f"{out}/daily"
     )

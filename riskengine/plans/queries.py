@@ -93,8 +93,8 @@ def _(spark, d):
         F.col("merchant_category").alias("merchantCategory"),
         F.create_map(F.lit("k"), F.col("k"), F.lit("Amount"), F.col("amount")).alias("features"),
     )
-    # One array of about a thousand transactions per line, spread by hash.
-    lists = tx.groupBy("batch_date", F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("b"))
+    # One array of at most a thousand transactions per line.
+    lists = tx.groupBy("batch_date", F.floor(F.col("event_id") / 1000).alias("b"))
     arrays = lists.agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
     broken = tx.groupBy("user_id").agg(F.concat(F.lit('{"id": '), F.max("transaction_id")).alias("value")).select("value")
     arrays.unionByName(broken).write.text(path)
@@ -971,7 +971,7 @@ def _deliver(spark, d, times: int = 1) -> str:
     path = work_dir(spark, "arriving")
     rows = T.tx(spark, d).withColumn("event_ts", F.timestamp_millis("timestamp_ms"))
     for _ in range(times):
-        rows.repartition(8, "event_id").write.mode("append").parquet(path)
+        rows.repartition("event_id").write.mode("append").parquet(path)
     return path
 
 

@@ -3,7 +3,7 @@ logs only append, and their readers take the newest record."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -27,20 +27,35 @@ def write_labeled_csv(df: DataFrame, path: str, target: str = TARGET, single_fil
     (out.coalesce(1) if single_file else out).write.mode("overwrite").option("header", False).csv(path)
 
 
-def overwrite_days(df: DataFrame, path: str, sort: Sequence[str] = (), day: str = "batch_date") -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def clear_days(spark: SparkSession, path: str, days: Iterable[object], day: str = "batch_date") -> None:
+    """Remove the folders of these days."""
+    for value in days:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={value}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def overwrite_days(
+    df: DataFrame, path: str, sort: Sequence[str] = (), day: str = "batch_date", days: Iterable[object] = ()
+) -> None:
     """Replace the days present in ``df`` and leave the others.
 
-    The rebalance hint gathers a day's rows into few files and splits a day that holds
-    most of the rows over several tasks.
+    A day named in ``days`` is replaced even if ``df`` has no row of it, so it ends up
+    empty. The rebalance hint gathers a day's rows into few files and splits a day that
+    holds most of the rows over several tasks.
     """
+    clear_days(df.sparkSession, path, days, day)
     out = df.hint("rebalance", day).sortWithinPartitions(day, *sort)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
 def read_store(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
     """The store at ``path``, or None before the first write."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if not path_exists(spark, path):
         return None
     return spark.read.schema(like.schema).parquet(path)
 
@@ -54,33 +69,39 @@ def upsert_frame(new: DataFrame, existing: DataFrame, keys: Sequence[str] = STOR
 def upsert_scored(new: DataFrame, path: str, keys: Sequence[str] = STORE_KEYS) -> None:
     """Keyed upsert into a store partitioned by day and sorted by score.
 
-    Only the days in ``new`` are read and rewritten. The merged rows go to the shared
-    folder first, so a run that dies while replacing a day can be repeated.
+    The key has no day in it: the days of ``new`` and those that hold a stored row of one
+    of its keys (found by a scan of the key columns) are read and rewritten, the others are
+    left alone. The merged rows go to the shared folder first; the replacement itself is not
+    atomic, so a store must not be read while a run replaces its days.
     """
     spark = new.sparkSession
     existing = read_store(spark, path, new)
-    # Read twice below: kept, so that scoring runs once.
+    # Read several times below: kept, so that scoring runs once.
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    days: list[object] = []
     try:
         if existing is None:
             existing = new.limit(0)
         else:
+            held = existing.select(*keys, "batch_date").join(new.select(*keys), list(keys), "left_semi")
+            touched = held.select("batch_date").union(new.select("batch_date")).distinct()
             # One value per calendar day reaches the driver; literals prune the store's folders.
-            days = [r[0] for r in new.select("batch_date").distinct().collect()]
+            days = [r[0] for r in touched.collect()]
+            days = [x for x in days if x is not None]
             existing = existing.filter(F.col("batch_date").isin(days))
         merged = checkpointed(upsert_frame(new, existing.select(*new.columns), keys))
     finally:
         new.unpersist()
-    overwrite_days(merged, path, sort=["fraud_score"])
+    overwrite_days(merged, path, sort=["fraud_score"], days=days)
 
 
 def write_daily(df: DataFrame, path: str) -> None:
     overwrite_days(df, path)
 
 
-def publish_alerts(messages: DataFrame, path: str) -> None:
-    """Alert batches by day; publishing a day again replaces its batches."""
-    overwrite_days(messages, path, sort=["batch_index"])
+def publish_alerts(messages: DataFrame, path: str, days: Iterable[object] = ()) -> None:
+    """Alert batches by day; publishing a day again replaces its batches, one in ``days`` also if it has none left."""
+    overwrite_days(messages, path, sort=["batch_index"], days=days)
 
 
 def append_rows(df: DataFrame, path: str, day: str | None = None) -> None:

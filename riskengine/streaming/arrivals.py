@@ -1,29 +1,35 @@
 """Batch files as they arrive: scoring into the store, daily totals, dropped re-deliveries.
 
 Each job reads a folder of Parquet files as a bounded stream and stops when it has read
-them all. State and progress live under ``checkpoint``, which must be a shared folder.
+them all. Progress lives under ``checkpoint``, which must be a shared folder. There is no
+watermark: rows of any age count.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from riskengine.functions import scalars as X
 from riskengine.operators.projections import banded
+from riskengine.operators.quality import accepted, rejected
 from riskengine.operators.risk import risk_summary
-from riskengine.sources.sinks import overwrite_days, upsert_scored
+from riskengine.sources.sinks import overwrite_days, path_exists, upsert_scored
 
-LATENESS = "31 days"
 
+def arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """New files of a folder; all that wait come in one batch unless ``files_per_batch`` says otherwise."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
-def arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 8) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
-
-def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
@@ -33,48 +39,72 @@ def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
 
 
 def stream_score(
-    stream: DataFrame, score: Callable[[DataFrame], DataFrame], store: str, checkpoint: str
+    stream: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    store: str,
+    checkpoint: str,
+    quarantine: str | None = None,
 ) -> None:
-    """Score and band every arriving row into the keyed store.
+    """Score and band every arriving row into the keyed store; rows without a valid score are set aside.
 
-    A batch that runs twice upserts the same keys with the same rows, so the store ends
-    as if it had run once.
+    A batch that runs twice upserts the same keys with the same rows, and replaces its own
+    part of the quarantine, so both end as if it had run once.
     """
+    aside = quarantine or f"{store.rstrip('/')}-quarantine"
 
-    def write(batch: DataFrame, _: int) -> None:
-        upsert_scored(banded(score(batch)), store)
+    def write(batch: DataFrame, number: int) -> None:
+        scored = score(batch).persist()
+        try:
+            rejected(scored, "fraud_score").write.mode("overwrite").parquet(f"{aside}/batch={number}")
+            upsert_scored(banded(accepted(scored, "fraud_score")), store)
+        finally:
+            scored.unpersist()
 
     _run(stream, write, checkpoint)
 
 
-def stream_daily(stream: DataFrame, out: str, checkpoint: str, lateness: str = LATENESS, ts: str = "event_ts") -> None:
-    """Daily risk totals over one-day windows, each changed day rewritten when it changes.
+def stream_daily(stream: DataFrame, out: str, checkpoint: str, ts: str = "event_ts") -> None:
+    """Daily risk totals over calendar days, each changed day rewritten when it changes.
 
-    State is one row per open day, so a month of lateness costs nothing.
+    No row is too late: a batch leaves its partial totals, one row per day, in a folder of
+    its own (replaced if the batch runs again), and the days it touches are summed anew.
     """
-    days = risk_summary(stream.withWatermark(ts, lateness).withColumn("day", F.window(ts, "1 day")), by=["day"])
-
-    def write(batch: DataFrame, _: int) -> None:
-        overwrite_days(batch.withColumn("batch_date", F.col("day.start").cast("date")).drop("day"), out)
+    parts = f"{out.rstrip('/')}-parts"
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("batch_date", F.to_date(ts))
+        valid = rows.groupBy("batch_date").agg(
+            F.count(X.number("fraud_score")).alias("valid"),
+            F.coalesce(F.sum(X.number("fraud_score")), F.lit(0.0)).alias("score_sum"),
+        )
+        partial = risk_summary(rows).drop("avg_score").join(valid, "batch_date")
+        partial.write.mode("overwrite").parquet(f"{parts}/batch={number}")
+        spark = batch.sparkSession
+        touched = spark.read.parquet(f"{parts}/batch={number}").select("batch_date").distinct()
+        every = spark.read.parquet(parts).join(touched, "batch_date", "left_semi").groupBy("batch_date").agg(
+            *[F.sum(c).alias(c) for c in ("total", "high", "medium", "low")],
+            F.coalesce(F.try_divide(F.sum("score_sum"), F.sum("valid")), F.lit(0.0)).alias("avg_score"),
+        )
+        overwrite_days(every, out)
 
-    _run(days, write, checkpoint, mode="update")
+    _run(stream, write, checkpoint)
 
 
-def stream_dedup(
-    stream: DataFrame, keys: list[str], out: str, checkpoint: str, lateness: str = LATENESS, ts: str = "event_ts"
-) -> None:
-    """Keep the first delivery of each key; copies up to ``lateness`` later are dropped.
+def stream_dedup(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -> None:
+    """Keep one delivery of each key, however long after the first another one comes.
 
-    State is one key per row inside the lateness; a cluster should keep it in RocksDB
-    (``spark.sql.streaming.stateStore.providerClass``).
+    The written rows are the memory: a batch is made unique and joined against their keys
+    (a scan of the key columns only), so there is no state to grow or expire, and a batch
+    that runs twice adds nothing.
     """
-    unique = stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
-    query = (
-        unique.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def write(batch: DataFrame, _: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        spark = batch.sparkSession
+        if path_exists(spark, out):
+            kept = spark.read.schema(batch.schema).parquet(out).select([F.col(k).alias(f"_kept_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_kept_{k}")) for k in keys]
+            fresh = fresh.join(kept, functools.reduce(lambda a, b: a & b, same), "left_anti")
+        fresh.write.mode("append").parquet(out)
+
+    _run(stream, write, checkpoint)

@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from riskengine.operators import ranking as RK
-from riskengine.operators.joins import small_side
 
 
 def hot_rows(spark, n=4000):
@@ -68,13 +67,6 @@ def test_cut_points_are_sorted_and_bounded(spark):
     assert cuts == sorted(set(cuts)) and 1 < len(cuts) < RK.MAX_BUCKETS
 
 
-def test_small_side_checks_the_size(spark):
-    rows = spark.range(50)
-    small, big = small_side(rows, 50), small_side(rows, 49)
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert big is rows
-    assert small.count() == 50
-
 
 def test_rows_without_a_group_are_kept(spark):
     from riskengine.operators import evaluation as E, profiling as PR

@@ -56,3 +56,36 @@ def test_redelivered_rows_are_dropped(spark, delivery):
         ST.stream_dedup(ST.arriving(spark, path, rows.schema, 3), ["transaction_id", "timestamp_ms"], out, progress)
         assert spark.read.parquet(out).count() == rows.count()
         rows.write.mode("append").parquet(path)
+
+
+def three_files(spark, path):
+    """One row per file, the last one from long before the others."""
+    for i, when in enumerate(["2024-06-01 10:00:00", "2024-06-02 10:00:00", "2021-01-01 10:00:00"]):
+        row = spark.createDataFrame([(f"t{i}", i, 100.0 + i, when)], "transaction_id string, timestamp_ms bigint, amount double, w string")
+        row.select("transaction_id", "timestamp_ms", "amount", F.col("w").cast("timestamp").alias("event_ts")).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_rows_of_any_age_count(spark):
+    path, out, days = work_dir(spark, "in"), work_dir(spark, "unique"), work_dir(spark, "days")
+    three_files(spark, path)
+    schema = spark.read.parquet(path).schema
+    ST.stream_dedup(ST.arriving(spark, path, schema, 1), ["transaction_id", "timestamp_ms"], out, work_dir(spark, "p"))
+    assert {r.transaction_id for r in spark.read.parquet(out).collect()} == {"t0", "t1", "t2"}
+    scored = ST.arriving(spark, path, schema, 1).withColumn("fraud_score", F.lit(0.9))
+    ST.stream_daily(scored, days, work_dir(spark, "p"))
+    found = {str(r.batch_date): (r.total, r.high) for r in spark.read.parquet(days).collect()}
+    assert found == {"2024-06-01": (1, 1), "2024-06-02": (1, 1), "2021-01-01": (1, 1)}
+
+
+def test_rows_without_a_valid_score_are_set_aside(spark):
+    path, store = work_dir(spark, "in"), work_dir(spark, "store")
+    three_files(spark, path)
+
+    def score(rows):
+        value = F.when(F.col("transaction_id") == "t0", F.lit(float("nan"))).when(F.col("transaction_id") == "t1", 0.4)
+        return rows.select("transaction_id", "timestamp_ms", F.to_date("event_ts").alias("batch_date"), "amount",
+                           value.alias("fraud_score"), F.lit(1).cast("bigint").alias("scoring_ms"))
+
+    ST.stream_score(ST.arriving(spark, path, spark.read.parquet(path).schema), score, store, work_dir(spark, "p"))
+    assert [r.transaction_id for r in spark.read.parquet(store).collect()] == ["t1"]
+    assert {r.transaction_id for r in spark.read.parquet(f"{store}-quarantine").collect()} == {"t0", "t2"}
