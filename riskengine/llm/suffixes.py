@@ -43,7 +43,7 @@ def anchors(body: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     h *= U64(0x9E3779B97F4A7C15)
     h ^= h >> U64(29)
     step = 8
-    while step < gram:
+    while 2 * step <= gram:
         h = h[:-step] * U64(0xBF58476D1CE4E5B9) + h[step:]
         h ^= h >> U64(31)
         step *= 2
@@ -425,8 +425,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
 
     Bytes covered by a string of ``length`` bytes that also starts at another place of any
     text go. Null text is empty. Repeated rows are texts of their own, so all of their
-    bytes go if they have ``length`` or more. Other columns are not looked at.
+    bytes go if they have ``length`` (8 or more) or more. Other columns are not looked at.
     """
+    if length < 8:
+        raise ValueError(f"length must be 8 or more, got {length}")
     texts = id_text(docs, id_col, text_col)
     # Rows equal in id and text share a key; each is a text of its own all the same, as its runs are counted.
     named = texts.withColumn(
