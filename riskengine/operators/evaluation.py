@@ -12,6 +12,7 @@ from riskengine.operators.joins import group_join
 from riskengine.operators.ranking import BUCKET, LOCAL_POSITION_BITS, cut_points, running_totals, with_buckets
 from riskengine.session import parallelism
 
+# Decision border, production and warning accuracy.
 DECISION = 0.5
 PRODUCTION_ACCURACY = 0.90
 WARNING_ACCURACY = 0.80
@@ -20,8 +21,11 @@ WARNING_ACCURACY = 0.80
 FULL_GATE = {"accuracy": 0.90, "precision": 0.80, "recall": 0.85, "f1": 0.82, "auc": 0.90}
 # Metrics of the model in production.
 PRODUCTION_BASELINE = {"accuracy": 0.952, "precision": 0.89, "recall": 0.85, "f1": 0.87, "auc": 0.94}
+# Cost of a wrong flag and of a missed fraud.
 FALSE_POSITIVE_COST = 10.0
 FALSE_NEGATIVE_COST = 500.0
+# What a challenger must reach.
+SUCCESS_CRITERIA = {"min_accuracy": 0.90, "max_latency_ms": 100.0, "min_improvement_pct": 1.0}
 
 
 def _usable() -> Column:
@@ -306,6 +310,48 @@ def join_pred_actual(pred: DataFrame, actual: DataFrame, key: str = "id") -> Dat
     return actual.join(pred, key)
 
 
+def accuracy_by_day(df: DataFrame, day: str = "batch_date") -> DataFrame:
+    """(day, judged, correct): rows that can be judged per day, and how many of them the score puts right."""
+    right = _flagged() == _positive()
+    return valid_rows(df).groupBy(day).agg(F.count("*").alias("judged"), F.count_if(right).alias("correct"))
+
+
+def ab_verdict(
+    champion: DataFrame, challenger: DataFrame, p95_ms: Column, key: str = "id",
+    limits: Mapping[str, float] = SUCCESS_CRITERIA,
+) -> DataFrame:
+    """Whether the challenger may replace the champion, in one row.
+
+    Both accuracies are over the records that both arms scored with a number and that have a
+    label. ``p95_ms`` is the challenger's latency; the improvement is in percent of the
+    champion's accuracy. A criterion that cannot be judged is not met.
+    """
+    a, b = F.col("a"), F.col("b")
+    both = champion.select(key, "label", F.col("score").alias("a")).join(
+        challenger.select(key, F.col("score").alias("b")), key
+    )
+    both = both.filter(F.col("label").isNotNull() & number("a").isNotNull() & number("b").isNotNull())
+
+    def share(cond: Column) -> Column:
+        return F.avg(F.when(cond, 1.0).otherwise(0.0))
+
+    one = both.agg(
+        F.count("*").alias("n"),
+        share((a >= DECISION) == _positive()).alias("champion_accuracy"),
+        share((b >= DECISION) == _positive()).alias("challenger_accuracy"),
+        share((a >= DECISION) == (b >= DECISION)).alias("agreement"),
+    )
+    old, new = F.col("champion_accuracy"), F.col("challenger_accuracy")
+    one = one.withColumns({"improvement_pct": F.try_divide((new - old) * 100, old), "p95_ms": p95_ms})
+    met = {
+        "accuracy_ok": new >= limits["min_accuracy"],
+        "latency_ok": F.col("p95_ms") <= limits["max_latency_ms"],
+        "improvement_ok": F.col("improvement_pct") >= limits["min_improvement_pct"],
+    }
+    judged = one.withColumns({name: F.coalesce(ok, F.lit(False)) for name, ok in met.items()})
+    return judged.withColumn("passed", F.col("accuracy_ok") & F.col("latency_ok") & F.col("improvement_ok"))
+
+
 def compare_arms(champion: DataFrame, challenger: DataFrame, key: str = "id") -> DataFrame:
     """Two scorers on the same records: mean absolute difference and agreement at 0.5.
 

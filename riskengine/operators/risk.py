@@ -21,6 +21,7 @@ ALERT_CHUNK = 100
 BASELINE_DAYS = 30
 AVG_SCORE_DRIFT = 0.1
 HIGH_RISK_DRIFT = 0.05
+BOARD_ACCURACY = 0.95
 
 
 def risk_summary(df: DataFrame, by: Sequence[str] = ("batch_date",), score: str = "fraud_score") -> DataFrame:
@@ -42,6 +43,13 @@ def risk_pct(summary: DataFrame) -> DataFrame:
     return summary.withColumns({f"{b}_pct": X.ratio_or_zero(F.col(b), F.col("total")) for b in ("high", "medium", "low")})
 
 
+def filled_days(summary: DataFrame, first: str, last: str, day: str = "batch_date") -> DataFrame:
+    """One row per calendar day from ``first`` to ``last``; a day without rows has zeros."""
+    ends = [F.lit(d).cast("date") for d in (first, last)]
+    days = summary.sparkSession.range(1).select(F.explode(F.sequence(*ends)).alias(day))
+    return days.join(summary, day, "left").na.fill(0)
+
+
 def load_totals(df: DataFrame, by: Sequence[str] = ("batch_date",), stored: str = "stored") -> DataFrame:
     """Rows stored and not stored per batch; whatever is not a success is an error."""
     return df.groupBy(*by).agg(
@@ -242,9 +250,17 @@ def ks_two_sample(df: DataFrame, cols: Sequence[str], is_recent: Column, alpha:
     return stat.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < alpha)
 
 
-def monitor_board(daily: DataFrame, days: int = 7, baseline: int = BASELINE_DAYS) -> DataFrame:
+def monitor_board(
+    daily: DataFrame, days: int = 7, baseline: int = BASELINE_DAYS, accuracy: DataFrame | None = None
+) -> DataFrame:
     """Row-weighted score and high-risk share of the last ``days`` days against the
-    ``baseline`` days before them, with the change."""
+    ``baseline`` days before them, with the change.
+
+    With ``accuracy`` (batch_date, judged, correct) there is a line for it, null without
+    judged rows, and a column ``alert``: recent accuracy below 95 %.
+    """
+    if accuracy is not None:
+        daily = daily.join(accuracy, "batch_date", "left")  # one row per day on both sides
     last = daily.agg(F.max("batch_date").alias("d")).scalar()
     age = F.datediff(last, F.col("batch_date"))
     recent, past = age < days, (age >= days) & (age < days + baseline)
@@ -259,7 +275,21 @@ def monitor_board(daily: DataFrame, days: int = 7, baseline: int = BASELINE_DAYS
         total(past, F.col("total")).alias("bn"),
         total(past, F.col("avg_score") * F.col("total")).alias("bs"),
         total(past, F.col("high")).alias("bh"),
+        *[
+            total(when, F.col(c)).alias(f"{c}_{name}")
+            for c in (("judged", "correct") if accuracy is not None else ())
+            for name, when in (("recent", recent), ("past", past))
+        ],
     )
+    lines = []
+    if accuracy is not None:
+        lines.append(
+            F.struct(
+                F.lit("accuracy").alias("metric"),
+                F.try_divide("correct_recent", "judged_recent").alias("recent"),
+                F.try_divide("correct_past", "judged_past").alias("baseline"),
+            )
+        )
     one = sums.select(
         F.array(
             F.struct(
@@ -272,8 +302,13 @@ def monitor_board(daily: DataFrame, days: int = 7, baseline: int = BASELINE_DAYS
                 X.ratio_or_zero(F.col("rh"), F.col("rn")).alias("recent"),
                 X.ratio_or_zero(F.col("bh"), F.col("bn")).alias("baseline"),
             ),
+            *lines,
         ).alias("m")
     )
-    return one.select(F.explode("m").alias("m")).select(
+    board = one.select(F.explode("m").alias("m")).select(
         "m.*", (F.col("m.recent") - F.col("m.baseline")).alias("change")
     )
+    if accuracy is None:
+        return board
+    low = (F.col("metric") == "accuracy") & (F.col("recent") < BOARD_ACCURACY)
+    return board.withColumn("alert", F.coalesce(low, F.lit(False)))

@@ -9,7 +9,8 @@ from pyspark.storagelevel import StorageLevel
 
 from riskengine.operators.projections import banded
 from riskengine.operators.quality import accepted, rejected
-from riskengine.operators.risk import alert_chunks, alert_messages, drift, risk_pct, risk_summary
+from riskengine.operators.risk import alert_chunks, alert_messages, drift, filled_days, risk_pct, risk_summary
+from riskengine.schemas import DAILY_RECORD
 from riskengine.sources.sinks import overwrite_days, publish_alerts, upsert_scored, write_daily
 from riskengine.sources.readers import read_daily
 
@@ -23,17 +24,20 @@ def run_day(tx: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, hi
     spark = tx.sparkSession
     out = out.rstrip("/")
     scored = score(tx).persist(StorageLevel.MEMORY_AND_DISK)
-    overwrite_days(rejected(scored, "fraud_score"), f"{out}/quarantine", days=[day])
-    upsert_scored(banded(accepted(scored, "fraud_score")), f"{out}/scored")
-    scored.unpersist()
-
-    stored = spark.read.parquet(f"{out}/scored").filter(F.col("batch_date") == F.lit(day).cast("date"))
+    try:
+        aside = rejected(scored, "fraud_score")
+        overwrite_days(aside, f"{out}/quarantine", days=[day])
+        upsert_scored(banded(accepted(scored, "fraud_score")), f"{out}/scored")
+    finally:
+        scored.unpersist()
+
+    is_day = F.col("batch_date") == F.lit(day).cast("date")
+    stored = spark.read.parquet(f"{out}/scored").filter(is_day)
+    errors = spark.read.schema(aside.schema).parquet(f"{out}/quarantine").filter(is_day).agg(F.count("*"))
     publish_alerts(alert_messages(alert_chunks(stored)), f"{out}/alerts", days=[day])
     # A day without rows has a record too, of zeros.
-    the_day = spark.range(1).select(F.lit(day).cast("date").alias("batch_date"))
-    summary = risk_pct(the_day.join(risk_summary(stored), "batch_date", "left").na.fill(0))
-    write_daily(
-        summary.select("total", "avg_score", "high_pct", "medium_pct", "low_pct", "batch_date"), f"{out}/daily"
-    )
+    summary = risk_pct(filled_days(risk_summary(stored), day, day))
+    record = summary.withColumns({"success_count": F.col("total"), "error_count": errors.scalar()})
+    write_daily(record.select(DAILY_RECORD.fieldNames()), f"{out}/daily")
     history = read_daily(spark, f"{out}/daily", history_from, day)
-    return drift(history).filter(F.col("batch_date") == F.lit(day).cast("date"))
+    return drift(history).filter(is_day)

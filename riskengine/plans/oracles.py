@@ -463,6 +463,13 @@ ORACLES: dict[str, str] = {
         sql="""SELECT CASE WHEN batch_date <= DATE '2024-01-20' THEN 'baseline' ELSE 'recent' END AS period, count(*) AS n,
         round(avg(label), 6) AS rate FROM pred GROUP BY 1""",
     ),
+    "agg_risk_summary_filled": over(
+        "daily",
+        sql="""SELECT cast(c.d AS date) AS batch_date, coalesce(total, 0) AS total, coalesce(high, 0) AS high,
+          coalesce(medium, 0) AS medium, coalesce(low, 0) AS low, round(coalesce(avg_score, 0), 6) AS avg_score
+        FROM (SELECT unnest(generate_series(DATE '2023-12-30', DATE '2024-01-20', INTERVAL 1 DAY)) AS d) c
+        LEFT JOIN (SELECT * FROM daily WHERE batch_date <> DATE '2024-01-10') x ON x.batch_date = cast(c.d AS date)""",
+    ),
     "agg_latency": over(
         "latency",
         sql="""SELECT arm, count(*) AS n, round(avg(latency_ms), 6) AS avg_ms, round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms,
@@ -494,6 +501,19 @@ ORACLES: dict[str, str] = {
         round(avg(abs(fraud_score - k / 100)), 6) AS mean_abs_diff,
         round(avg(cast((fraud_score >= 0.5) = (k / 100 >= 0.5) AS int)), 6) AS agreement FROM scored""",
     ),
+    "ab_verdict": over(
+        "scored",
+        "latency",
+        sql=f"""SELECT n, {rounded('champion_accuracy', 'challenger_accuracy', 'agreement', 'improvement_pct', 'p95_ms')},
+          challenger_accuracy >= 0.9 AS accuracy_ok, p95_ms <= 100 AS latency_ok, improvement_pct >= 1 AS improvement_ok,
+          challenger_accuracy >= 0.9 AND p95_ms <= 100 AND improvement_pct >= 1 AS passed
+        FROM (SELECT *, (challenger_accuracy - champion_accuracy) * 100 / champion_accuracy AS improvement_pct FROM (
+          SELECT count(*) AS n, avg(cast((fraud_score >= 0.5) = (label = 1) AS int)) AS champion_accuracy,
+            avg(cast((k / 100 >= 0.5) = (label = 1) AS int)) AS challenger_accuracy,
+            avg(cast((fraud_score >= 0.5) = (k / 100 >= 0.5) AS int)) AS agreement
+          FROM (SELECT *, {LABEL} AS label FROM scored))),
+        (SELECT quantile_cont(latency_ms, 0.95) AS p95_ms FROM latency WHERE arm = 'challenger')""",
+    ),
     "join_baseline_range": over(
         "base", sql=f"SELECT batch_date, {rounded('baseline_score', 'baseline_high_pct')}, baseline_days FROM base"
     ),
@@ -576,6 +596,30 @@ ORACLES: dict[str, str] = {
                 WINDOW w AS (PARTITION BY feature ORDER BY value), g AS (PARTITION BY feature))
               GROUP BY feature)))""",
     ),
+    "drift_board_accuracy": over(
+        "daily",
+        "pred",
+        sql="""SELECT metric, round(recent, 6) AS recent, round(baseline, 6) AS baseline, round(recent - baseline, 6) AS change,
+          metric = 'accuracy' AND recent < 0.95 AS alert FROM (
+          SELECT unnest([{'metric': 'avg_fraud_score', 'recent': coalesce(rs / rn, 0), 'baseline': coalesce(bs / bn, 0)},
+            {'metric': 'high_risk_pct', 'recent': coalesce(rh / rn, 0), 'baseline': coalesce(bh / bn, 0)},
+            {'metric': 'accuracy', 'recent': ra, 'baseline': ba}], recursive := true) FROM (
+            SELECT sum(total) FILTER (age < 7) AS rn, sum(avg_score * total) FILTER (age < 7) AS rs, sum(high) FILTER (age < 7) AS rh,
+              sum(total) FILTER (age BETWEEN 7 AND 36) AS bn, sum(avg_score * total) FILTER (age BETWEEN 7 AND 36) AS bs,
+              sum(high) FILTER (age BETWEEN 7 AND 36) AS bh
+            FROM (SELECT *, max(batch_date) OVER () - batch_date AS age FROM daily)), (
+            SELECT avg(ok) FILTER (age < 7) AS ra, avg(ok) FILTER (age BETWEEN 7 AND 36) AS ba FROM (
+              SELECT cast((score >= 0.5) = (label = 1) AS int) AS ok, max(batch_date) OVER () - batch_date AS age FROM pred)))""",
+    ),
+    # model queries: what holds for any fit
+    "ml_score_batch": over(
+        "cards", sql="SELECT event_id, true AS is_probability, cast(Time * 1000 AS bigint) AS scoring_ms FROM cards"
+    ),
+    "ml_probe": over("split_cards", sql="SELECT count(*) AS probed, true AS healthy FROM split_cards WHERE split <> 'train'"),
+    "ml_grid_search": """SELECT cast(row_number() OVER (ORDER BY max_depth, eta) - 1 AS int) AS trial_no, 'grid' AS method,
+        max_depth, eta, '4' AS num_round, true AS judged FROM (SELECT unnest(['2', '4']) AS max_depth), (SELECT unnest(['0.1', '0.2']) AS eta)""",
+    "ml_cv_grid": """SELECT cast(depth / 2 - 1 AS int) AS trial_no, cast(depth AS varchar) AS max_depth, true AS is_share
+        FROM (SELECT unnest([2, 4]) AS depth)""",
     "drift_board": over(
         "daily",
         sql="""SELECT metric, round(recent, 6) AS recent, round(baseline, 6) AS baseline, round(recent - baseline, 6) AS change FROM (

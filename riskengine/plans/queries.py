@@ -527,6 +527,13 @@ def _(spark, d):
     return R.risk_summary(T.scored(spark, d)).withColumns(r6("avg_score"))
 
 
+@query("agg_risk_summary_filled")
+def _(spark, d):
+    # A day whose batch is empty: the tenth, and the days before the first event.
+    rows = T.scored(spark, d).filter(F.col("batch_date") != F.lit("2024-01-10").cast("date"))
+    return R.filled_days(R.risk_summary(rows), "2023-12-30", "2024-01-20").withColumns(r6("avg_score"))
+
+
 @query("agg_risk_pct")
 def _(spark, d):
     return _daily(spark, d).select("batch_date", "high_pct", "medium_pct", "low_pct").withColumns(
@@ -588,6 +595,14 @@ def _(spark, d):
     return out.withColumns(r6("avg_champion", "avg_challenger", "mean_abs_diff", "agreement"))
 
 
+@query("ab_verdict")
+def _(spark, d):
+    rows = T.model_preds(spark, d)
+    slow = PR.latency_stats(T.latency(spark, d).filter("arm = 'challenger'"), "arm").select("p95_ms")
+    out = E.ab_verdict(rows.filter("algorithm = 'amount_rule'"), rows.filter("algorithm = 'k_rule'"), slow.scalar())
+    return out.withColumns(r6("champion_accuracy", "challenger_accuracy", "agreement", "improvement_pct", "p95_ms"))
+
+
 @query("join_baseline_range")
 def _(spark, d):
     out = R.baseline_range_join(_daily(spark, d))
@@ -686,6 +701,12 @@ def _(spark, d):
     return R.monitor_board(_daily(spark, d)).withColumns(r6("recent", "baseline", "change"))
 
 
+@query("drift_board_accuracy")
+def _(spark, d):
+    out = R.monitor_board(_daily(spark, d), accuracy=E.accuracy_by_day(T.pred_by_day(spark, d)))
+    return out.withColumns(r6("recent", "baseline", "change"))
+
+
 # ---------------------------------------------------------------- evaluation
 
 RATES = ["accuracy", "precision", "recall", "f1"]
@@ -776,9 +797,8 @@ def _(spark, d):
     train, _ = _train_test(spark, d, CARD_COLS)
     model = ML.train_gbt(train, QUICK)
     rows = T.cards(spark, d)
-    return ML.score_rows(rows, model, CARD_COLS, (F.col("Time") * 1000).cast("bigint")).select(
-        "event_id", "fraud_score", "scoring_ms"
-    )
+    scored = ML.score_rows(rows, model, CARD_COLS, (F.col("Time") * 1000).cast("bigint"))
+    return scored.select("event_id", F.col("fraud_score").between(0.0, 1.0).alias("is_probability"), "scoring_ms")
 
 
 @query("ml_score_udf")
@@ -804,7 +824,11 @@ def _(spark, d):
 def _(spark, d):
     train, val = _train_test(spark, d, CARD_COLS)
     trials = ML.grid_search(train, val, {"max_depth": [2, 4], "eta": [0.1, 0.2], "num_round": [4]})
-    return trials.select("trial_no", "method", F.to_json("params").alias("params"), F.to_json("metrics").alias("metrics"), "score")
+    # What a rerun of any fit must give: the trials in order, each judged by the asked metric.
+    return trials.select(
+        "trial_no", "method", *[F.element_at("params", p).alias(p) for p in ("max_depth", "eta", "num_round")],
+        (F.col("score") == F.element_at("metrics", "accuracy")).alias("judged"),
+    )
 
 
 @query("ml_random_search")
@@ -818,14 +842,17 @@ def _(spark, d):
 @query("ml_probe")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
-    return ML.probe(ML.train_gbt(train, QUICK), test)
+    return ML.probe(ML.train_gbt(train, QUICK), test).select("probed", "healthy")
 
 
 @query("ml_cv_grid")
 def _(spark, d):
     vectors = ML.assemble(T.cards(spark, d), CARD_COLS, keep=["event_id"])
     trials = ML.cv_grid_search(vectors, "event_id", ML.gbt({"num_round": 3}), {"maxDepth": [2, 4]})
-    return trials.select("trial_no", F.to_json("params").alias("params"), "mean_score", "std_score")
+    return trials.select(
+        "trial_no", F.element_at("params", "maxDepth").alias("max_depth"),
+        F.col("mean_score").between(0.0, 1.0).alias("is_share"),
+    )
 
 
 # ---------------------------------------------------------------- experiments and registry

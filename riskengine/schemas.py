@@ -34,6 +34,16 @@ DAILY_METRICS = T.StructType(
     ]
 )
 
+# What the daily job writes: the metrics, and how many rows reached the store or did not.
+DAILY_RECORD = T.StructType(
+    [
+        *DAILY_METRICS.fields[:-1],
+        T.StructField("success_count", T.LongType()),
+        T.StructField("error_count", T.LongType()),
+        DAILY_METRICS["batch_date"],
+    ]
+)
+
 MODEL_CONFIG = T.StructType(
     [
         T.StructField(

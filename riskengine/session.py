@@ -79,12 +79,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df):
-    """Cut lineage through reliable storage, so later passes see the same partitions."""
-    spark = df.sparkSession
+def use_checkpoints(spark: SparkSession) -> None:
+    """Name the shared folder to the context, also for fits that cut their lineage every few rounds."""
     folder = shared_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def checkpointed(df):
+    """Cut lineage through reliable storage, so later passes see the same partitions."""
+    use_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

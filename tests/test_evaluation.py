@@ -1,11 +1,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskengine.operators import evaluation as E
 
-GOLDEN_Y = [0, 0, 0, 0, 0, 1, 1, 1, 1, 1]
-GOLDEN_P = [0.1, 0.2, 0.15, 0.6, 0.3, 0.85, 0.9, 0.4, 0.75, 0.8]
+# At 0.5: 0.99, 0.95, 0.7, 0.55 are rightly flagged, 0.62 and 0.5 wrongly, 0.35 is missed.
+HAND_Y = [1, 0, 1, 1, 0, 0, 1, 0, 0, 1]
+HAND_P = [0.95, 0.62, 0.55, 0.35, 0.05, 0.45, 0.7, 0.25, 0.5, 0.99]
 
 
 def frame(spark, labels, scores):
@@ -31,11 +33,11 @@ def loop_auc(labels, scores):
     return area / (sum(labels) * (len(labels) - sum(labels)))
 
 
-def test_golden_rows(spark):
-    row = E.metrics_with_auc(frame(spark, GOLDEN_Y, GOLDEN_P)).first()
-    assert (row.tp, row.fp, row.tn, row.fn) == (4, 1, 4, 1)
-    assert (row.accuracy, row.precision, row.recall, row.f1) == pytest.approx((0.8, 0.8, 0.8, 0.8))
-    assert row.auc == pytest.approx(pairs_auc(GOLDEN_Y, GOLDEN_P))
+def test_rows_worked_out_by_hand(spark):
+    row = E.metrics_with_auc(frame(spark, HAND_Y, HAND_P)).first()
+    assert (row.tp, row.fp, row.tn, row.fn) == (4, 2, 3, 1)
+    assert (row.accuracy, row.precision, row.recall, row.f1) == pytest.approx((0.7, 2 / 3, 0.8, 8 / 11))
+    assert row.auc == pytest.approx(pairs_auc(HAND_Y, HAND_P))
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -75,11 +77,11 @@ def test_threshold_is_inclusive(spark):
 
 
 def test_curves(spark):
-    rows = frame(spark, GOLDEN_Y, GOLDEN_P)
+    rows = frame(spark, HAND_Y, HAND_P)
     roc = sorted((r.fpr, r.tpr) for r in E.roc_curve(rows).collect())
     assert roc[0] == (0.0, 0.0) and roc[-1] == (1.0, 1.0) and len(roc) == 11
     area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(roc, roc[1:]))
-    assert area == pytest.approx(pairs_auc(GOLDEN_Y, GOLDEN_P))
+    assert area == pytest.approx(pairs_auc(HAND_Y, HAND_P))
     pr = E.pr_curve(rows).collect()
     last = [r for r in pr if r.threshold is None]
     assert [(r.precision, r.recall) for r in last] == [(1.0, 0.0)]
@@ -88,19 +90,19 @@ def test_curves(spark):
 
 def test_sweep_against_brute_force(spark):
     ts = [0.0, 0.15, 0.5, 0.9, 0.95]
-    got = {r.threshold: (r.tp, r.fp, r.fn, r.tn) for r in E.threshold_sweep(frame(spark, GOLDEN_Y, GOLDEN_P), ts).collect()}
+    got = {r.threshold: (r.tp, r.fp, r.fn, r.tn) for r in E.threshold_sweep(frame(spark, HAND_Y, HAND_P), ts).collect()}
     for t in ts:
-        hit = [p >= t for p in GOLDEN_P]
+        hit = [p >= t for p in HAND_P]
         want = tuple(
-            sum(1 for y, h in zip(GOLDEN_Y, hit) if (y, h) == cell) for cell in ((1, True), (0, True), (1, False), (0, False))
+            sum(1 for y, h in zip(HAND_Y, hit) if (y, h) == cell) for cell in ((1, True), (0, True), (1, False), (0, False))
         )
         assert got[t] == want
 
 
 def test_cheapest_threshold(spark):
-    rows = E.threshold_cost(frame(spark, GOLDEN_Y, GOLDEN_P), [0.1, 0.35, 0.7]).collect()
-    assert {r.threshold: r.cost for r in rows} == {0.1: 50.0, 0.35: 10.0, 0.7: 500.0}
-    assert [r.threshold for r in rows if r.is_best] == [0.35]
+    rows = E.threshold_cost(frame(spark, HAND_Y, HAND_P), [0.1, 0.3, 0.7]).collect()
+    assert {r.threshold: r.cost for r in rows} == {0.1: 40.0, 0.3: 30.0, 0.7: 1000.0}
+    assert [r.threshold for r in rows if r.is_best] == [0.3]
 
 
 def test_baseline_comparison(spark):
@@ -136,3 +138,15 @@ def test_arm_comparison(spark):
     a, b = frame(spark, [0, 1], [0.2, 0.9]), frame(spark, [0, 1], [0.4, 0.3])
     row = E.compare_arms(a, b).first()
     assert (row.n, row.agreement) == (2, 0.5) and row.mean_abs_diff == pytest.approx(0.4)
+
+
+def test_ab_verdict(spark):
+    old = spark.createDataFrame([(i, i % 2, 0.9 if i != 1 else 0.1) for i in range(20)], "id long, label int, score double")
+    new = spark.createDataFrame([(i, 0.9 if i % 2 else 0.1) for i in range(19)] + [(19, float("nan"))], "id long, score double")
+    row = E.ab_verdict(old, new, F.lit(80.0)).first()
+    assert (row.n, row.challenger_accuracy, row.champion_accuracy) == (19, 1.0, pytest.approx(8 / 19))
+    assert row.improvement_pct == pytest.approx(137.5) and row.passed
+    slow = E.ab_verdict(old, new, F.lit(100.5)).first()
+    assert (slow.accuracy_ok, slow.latency_ok, slow.passed) == (True, False, False)
+    nothing = E.ab_verdict(old.limit(0), new, F.lit(None).cast("double")).first()
+    assert (nothing.n, nothing.accuracy_ok, nothing.latency_ok, nothing.improvement_ok, nothing.passed) == (0, False, False, False, False)

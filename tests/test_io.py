@@ -119,6 +119,25 @@ def test_daily_job(spark, tiny_dir):
     sent = spark.read.parquet(f"{out}/alerts").agg(F.sum("size")).first()[0]
     assert sent == stored.filter("fraud_score >= 0.8").count()
 
+    # A day with a score that is no number, then a day without rows, then the first day again.
+    def gaps(batch):
+        return score(batch).withColumn("fraud_score", F.when(F.col("transaction_id") != broken, F.col("fraud_score")))
+
+    first = tx.filter(F.col("batch_date") == F.lit(days[0]).cast("date"))
+    n, broken = first.count(), first.first().transaction_id
+    redo = work_dir(spark, "job")
+    run_day(first, gaps, redo, "2023-12-01", days[0])
+    empty = run_day(first.limit(0), score, redo, "2023-12-01", "2030-05-05").first()
+    assert (empty.total, empty.avg_score, empty.baseline_days) == (0, 0.0, 0)
+
+    def record(day):
+        row = spark.read.parquet(f"{redo}/daily").filter(F.col("batch_date") == F.lit(day).cast("date")).first()
+        return row.total, row.success_count, row.error_count
+
+    assert (record(days[0]), record("2030-05-05")) == ((n - 1, n - 1, 1), (0, 0, 0))
+    run_day(first, score, redo, "2023-12-01", days[0])
+    assert record(days[0]) == (n, n, 0)
+
 
 def test_checkpoints_use_the_named_folder(spark):
     checkpointed(spark.range(3))

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from riskengine.operators import projections as P, risk as R
+from riskengine.operators import evaluation as E, projections as P, risk as R
 from riskengine.operators.quality import accepted, rejected
 
 NAN = float("nan")
@@ -128,3 +128,22 @@ def test_load_totals(spark):
     rows = spark.createDataFrame([("d", True), ("d", False), ("d", True), ("d", None)], "batch_date string, stored boolean")
     row = R.load_totals(rows).first()
     assert (row.total, row.success_count, row.error_count) == (4, 2, 2)
+
+
+def test_days_without_rows_are_zeros(spark):
+    got = R.filled_days(R.risk_summary(scores(spark, [0.9, 0.1])), "2024-01-14", "2024-01-16").orderBy("batch_date").collect()
+    assert [(r.total, r.high, r.avg_score) for r in got] == [(0, 0, 0.0), (2, 1, 0.5), (0, 0, 0.0)]
+    nothing = R.filled_days(R.risk_summary(scores(spark, [])), "2024-01-14", "2024-01-14").first()
+    assert (nothing.total, nothing.low, nothing.avg_score) == (0, 0, 0.0)
+
+
+def test_board_with_accuracy(spark):
+    rows = scores(spark, [0.9, 0.1, NAN, 0.2]).unionByName(scores(spark, [0.9, 0.9], day="2024-01-05"))
+    daily = R.risk_pct(R.risk_summary(rows))
+    judged = E.accuracy_by_day(rows.select("batch_date", F.lit(1).alias("label"), F.col("fraud_score").alias("score")))
+    got = {r.metric: r for r in R.monitor_board(daily, accuracy=judged).collect()}
+    line = got["accuracy"]
+    assert (line.recent, line.baseline, line.alert) == (pytest.approx(1 / 3), 1.0, True)
+    assert not got["avg_fraud_score"].alert
+    none = {r.metric: r for r in R.monitor_board(daily, accuracy=judged.limit(0)).collect()}["accuracy"]
+    assert (none.recent, none.change, none.alert) == (None, None, False)
