@@ -84,6 +84,20 @@ def rollback(hist: DataFrame, version: int, new_version: Column | int) -> DataFr
     return old.select("path", "value", new.cast("bigint").alias("version"), F.col("version").alias("restored_from"))
 
 
+def trial_runs(trials: DataFrame, experiment: str, algorithm: str, created: Column) -> DataFrame:
+    """Trials of a search as rows of the experiment log, one run per trial."""
+    fixed = F.create_map(F.lit("experiment_id"), F.lit(experiment), F.lit("algorithm"), F.lit(algorithm))
+    return trials.select(
+        F.format_string("%s-%s-%05d", F.lit(experiment), "method", "trial_no").alias("run_id"),
+        F.lit(experiment).alias("experiment_name"),
+        F.lit(algorithm).alias("algorithm"),
+        created.alias("created"),
+        F.map_concat(fixed, "params").alias("params"),
+        "metrics",
+    )
+
+
+# The names of a promotion record and its fields.
 def promotion_events(runs: DataFrame, approver: str, backup_key: Column) -> DataFrame:
     """One promotion record per run: its hyperparameters under ``promoted_`` plus the event fields."""
     hyper = F.map_filter("params", lambda k, _: ~k.isin(*RESERVED_PARAMS))

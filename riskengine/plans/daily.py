@@ -11,7 +11,7 @@ from riskengine.operators.projections import banded
 from riskengine.operators.quality import accepted, rejected
 from riskengine.operators.risk import alert_chunks, alert_messages, drift, filled_days, risk_pct, risk_summary
 from riskengine.schemas import DAILY_RECORD
-from riskengine.sources.sinks import overwrite_days, publish_alerts, upsert_scored, write_daily
+from riskengine.sources.sinks import overwrite_days, publish_alerts, read_store, upsert_scored, write_daily
 from riskengine.sources.readers import read_daily
 
 
@@ -27,12 +27,13 @@ def run_day(tx: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, hi
     try:
         aside = rejected(scored, "fraud_score")
         overwrite_days(aside, f"{out}/quarantine", days=[day])
-        upsert_scored(banded(accepted(scored, "fraud_score")), f"{out}/scored")
+        good = banded(accepted(scored, "fraud_score"))
+        upsert_scored(good, f"{out}/scored")
     finally:
         scored.unpersist()
 
     is_day = F.col("batch_date") == F.lit(day).cast("date")
-    stored = spark.read.parquet(f"{out}/scored").filter(is_day)
+    stored = read_store(spark, f"{out}/scored", good).filter(is_day)
     errors = spark.read.schema(aside.schema).parquet(f"{out}/quarantine").filter(is_day).agg(F.count("*"))
     publish_alerts(alert_messages(alert_chunks(stored)), f"{out}/alerts", days=[day])
     # A day without rows has a record too, of zeros.

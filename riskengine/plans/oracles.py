@@ -326,6 +326,9 @@ ORACLES: dict[str, str] = {
     "filter_retention": over(
         "tx", sql="SELECT event_id, batch_date FROM tx WHERE batch_date > (SELECT max(batch_date) - 7 FROM tx)"
     ),
+    "sink_retention": over(
+        "tx", sql="SELECT event_id, batch_date FROM tx WHERE batch_date > (SELECT max(batch_date) - 7 FROM tx)"
+    ),
     # splits
     "split_bernoulli": over("split_cards", sql="SELECT event_id, split FROM split_cards"),
     "split_exact": over(

@@ -346,6 +346,15 @@ def _(spark, d):
     return P.retain(scored, "batch_date", 7, newest).select("event_id", "batch_date")
 
 
+@query("sink_retention")
+def _(spark, d):
+    path = work_dir(spark, "store")
+    SK.overwrite_days(T.scored(spark, d).select("event_id", "batch_date"), path)
+    newest = spark.read.parquet(path).agg(F.max("batch_date")).first()[0]
+    SK.drop_old_days(spark, path, 7, newest)
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- splits
 
 

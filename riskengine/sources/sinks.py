@@ -3,8 +3,10 @@ logs only append, and their readers take the newest record."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -39,6 +41,21 @@ def clear_days(spark: SparkSession, path: str, days: Iterable[object], day: str
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def drop_old_days(spark: SparkSession, path: str, keep: int, as_of: str | dt.date, day: str = "batch_date") -> list[str]:
+    """Delete the folders of days older than the last ``keep`` days up to ``as_of``; returns the days.
+
+    Only folder names are read. Rows without a day are left alone, as are days after ``as_of``.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [entry.getPath().getName() for entry in listed]
+    days = [n.removeprefix(f"{day}=") for n in names if n.startswith(f"{day}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+    last_gone = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=keep)
+    old = sorted(d for d in days if dt.date.fromisoformat(d) <= last_gone)
+    clear_days(spark, path, old, day)
+    return old
+
+
 def overwrite_days(
     df: DataFrame, path: str, sort: Sequence[str] = (), day: str = "batch_date", days: Iterable[object] = ()
 ) -> None:
@@ -54,15 +71,26 @@ def overwrite_days(
 
 
 def read_store(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    """The store at ``path``, or None before the first write."""
+    """The store at ``path`` with the columns of all its files, or None before the first write.
+
+    A store without any row yet has the columns of ``like``.
+    """
     if not path_exists(spark, path):
         return None
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as failed:
+        if failed.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
     return spark.read.schema(like.schema).parquet(path)
 
 
 def upsert_frame(new: DataFrame, existing: DataFrame, keys: Sequence[str] = STORE_KEYS) -> DataFrame:
-    """Last write wins per key: a new row beats a stored one, a later scoring an earlier."""
-    both = existing.withColumn("_write", F.lit(0)).unionByName(new.withColumn("_write", F.lit(1)))
+    """Last write wins per key: a new row beats a stored one, a later scoring an earlier.
+
+    A column that one side lacks is null in its rows.
+    """
+    both = existing.withColumn("_write", F.lit(0)).unionByName(new.withColumn("_write", F.lit(1)), allowMissingColumns=True)
     return latest_per_key(both, keys, ["_write", "scoring_ms", "fraud_score"]).drop("_write")
 
 
@@ -89,7 +117,7 @@ def upsert_scored(new: DataFrame, path: str, keys: Sequence[str] = STORE_KEYS) -
             days = [r[0] for r in touched.collect()]
             days = [x for x in days if x is not None]
             existing = existing.filter(F.col("batch_date").isin(days))
-        merged = checkpointed(upsert_frame(new, existing.select(*new.columns), keys))
+        merged = checkpointed(upsert_frame(new, existing, keys))
     finally:
         new.unpersist()
     overwrite_days(merged, path, sort=["fraud_score"], days=days)

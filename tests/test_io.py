@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from riskengine.operators import registry as RG
 from riskengine.operators.projections import to_scored
 from riskengine.plans.daily import run_day
 from riskengine.plans.prepare import prepare
@@ -139,6 +140,54 @@ def test_daily_job(spark, tiny_dir):
     assert record(days[0]) == (n, n, 0)
 
 
+def test_daily_job_on_an_empty_first_batch(spark, tiny_dir):
+    out = work_dir(spark, "job")
+
+    def score(batch):
+        return to_scored(batch, T.amount_score(F.col("amount")), F.col("timestamp_ms") + 1000)
+
+    row = run_day(T.tx(spark, tiny_dir).limit(0), score, out, "2023-12-01", "2024-01-01").first()
+    assert (row.total, row.high_pct, row.avg_score) == (0, 0.0, 0.0)
+    tx = T.tx(spark, tiny_dir).filter("batch_date = date '2024-01-02'")
+    assert run_day(tx, score, out, "2023-12-01", "2024-01-02").first().total == tx.count() > 0
+
+
+def _stored(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).withColumn("batch_date", F.to_date("batch_date"))
+
+
+def test_a_narrower_batch_keeps_the_columns_of_the_store(spark):
+    path = work_dir(spark, "store")
+    wide = "transaction_id string, timestamp_ms long, fraud_score double, scoring_ms long, batch_date string, merchant string"
+    SK.upsert_scored(_stored(spark, [("a", 1, 0.5, 1, "2024-01-01", "shop"), ("b", 1, 0.6, 1, "2024-01-01", "bar")], wide), path)
+    narrow = wide.removesuffix(", merchant string")
+    SK.upsert_scored(_stored(spark, [("b", 1, 0.9, 2, "2024-01-01"), ("c", 1, 0.1, 2, "2024-01-02")], narrow), path)
+    SK.upsert_scored(_stored(spark, [("d", 1, 0.2, 3, "2024-01-02", "inn")], wide), path)
+    got = {r.transaction_id: (r.fraud_score, r.merchant) for r in spark.read.option("mergeSchema", True).parquet(path).collect()}
+    assert got == {"a": (0.5, "shop"), "b": (0.9, None), "c": (0.1, None), "d": (0.2, "inn")}
+
+
+def test_old_days_are_deleted(spark):
+    path = work_dir(spark, "days")
+    days = ["2024-01-01", "2024-01-02", "2024-01-05", "2024-02-01", None]
+    SK.overwrite_days(_stored(spark, list(enumerate(days)), "id long, batch_date string"), path)
+    assert SK.drop_old_days(spark, path, 3, "2024-01-05") == ["2024-01-01", "2024-01-02"]
+    left = [str(r.batch_date) for r in spark.read.parquet(path).orderBy("id").collect()]
+    assert left == ["2024-01-05", "2024-02-01", "None"]
+    assert SK.drop_old_days(spark, path, 3, "2024-01-05") == []
+
+
+def test_trials_enter_the_experiment_log(spark):
+    path = work_dir(spark, "runs")
+    trials = spark.createDataFrame(
+        [(0, "grid", {"max_depth": "3"}, {"accuracy": 0.9}, 0.9), (1, "grid", {"max_depth": "5"}, {"accuracy": 0.8}, 0.8)],
+        "trial_no int, method string, params map<string,string>, metrics map<string,double>, score double",
+    )
+    SK.log_runs(RG.trial_runs(trials, "exp-7", "boosted", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), path)
+    found = RG.query_runs(spark.read.parquet(path), experiment_name="exp-7", params={"max_depth": 3}).collect()
+    assert [(r.run_id, r.hyperparameters) for r in found] == [("exp-7-grid-00000", {"max_depth": "3"})]
+
+
 def test_checkpoints_use_the_named_folder(spark):
     checkpointed(spark.range(3))
     assert spark.sparkContext.getCheckpointDir() is not None
