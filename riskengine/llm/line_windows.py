@@ -19,10 +19,20 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _flags() -> Column:
+    """For each line up to the last covered one, from the column ``covered``, whether it is covered."""
+    covered = F.col("covered")
+    others = F.array_except(F.sequence(F.lit(0), F.array_max(covered)), covered)
+    return F.sort_array(F.concat(
+        F.transform(covered, lambda i: F.struct(i.alias("line"), F.lit(True).alias("gone"))),
+        F.transform(others, lambda i: F.struct(i.alias("line"), F.lit(False).alias("gone"))),
+    ))["gone"]
+
+
 def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, covered): the numbers, from 0, of the lines to remove, for texts that have any.
+    """(k, n_removed, gone) for texts that have lines to remove: their number, and a flag per line up to the last.
 
-    ``key`` is ``row_key`` of the row. Rows equal in id and text count as one text.
+    ``k`` is ``row_key`` of the row. Rows equal in id and text count as one text.
     """
     text = F.col(text_col)
     hashes = F.transform(_lines(text), lambda x: F.xxhash64(x))
@@ -46,7 +56,8 @@ def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     later = windows.join(repeated, names).filter(place > F.col("first"))
     span = F.explode(F.sequence(F.col("pos"), F.col("pos") + (WINDOW - 1)))
-    return later.select("k", span.alias("line")).groupBy("k").agg(F.collect_set("line").alias("covered"))
+    covered = later.select("k", span.alias("line")).groupBy("k").agg(F.collect_set("line").alias("covered"))
+    return covered.select("k", F.size("covered").cast("bigint").alias("n_removed"), _flags().alias("gone"))
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,10 +75,10 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     )
     joined = rows.join(covered_lines(docs, id_col, text_col), "k", "left")
     lines = _lines(F.col("body"))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("covered", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False))), "\n")
     return joined.select(
         "row",
-        F.when(F.col("covered").isNull(), F.col("body")).otherwise(kept).alias("kept_text"),
+        F.when(F.col("gone").isNull(), F.col("body")).otherwise(kept).alias("kept_text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.when(F.col("covered").isNull(), 0).otherwise(F.size("covered")).cast("bigint").alias("n_removed"),
+        F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
     )
