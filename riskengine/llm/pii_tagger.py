@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, functions as F
 from riskengine.llm.frames import as_fraction, id_text, keyed, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
-# Fixed values of the base patterns.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Fixed values of the base patterns. The first part of an email is found run by run, and an ip
+# only at the first of its digits: tried at every character, a run of n would cost n * n steps.
+MAILBOX = re.compile(r"[A-Za-z0-9._%+-]+")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -59,7 +61,8 @@ def _digits(text: str) -> str:
 
 
 def _is_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") for p in text.split(".")]
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
 
 
 def _is_card(text: str) -> bool:
@@ -67,11 +70,21 @@ def _is_card(text: str) -> bool:
     return 13 <= len(d) <= 19 and luhn(d)
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping emails: what is left of a run after the email before, then a domain."""
+    done = 0
+    for run in MAILBOX.finditer(text):
+        start = max(done, run.start())
+        if start < run.end() and (domain := DOMAIN.match(text, run.end())):
+            done = domain.end()
+            yield start, done
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) in code points, by kind, then start; failing matches are dropped."""
     out: list[tuple[int, int, int]] = []
     if "@" in text:
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [(0, start, end) for start, end in _emails(text)]
     if "." in text:
         out += [(1, m.start(), m.end()) for m in IP.finditer(text) if _is_ip(m[0])]
     out += [(2, m.start(), m.end()) for m in CARD.finditer(text) if _is_card(m[0])]
