@@ -26,6 +26,7 @@ from riskengine.llm.tokens import U64, Words, mix, words
 SHINGLE = 5
 SIMILARITY = 0.8
 BLOOM_BITS = 1 << 23
+ITEMS = 256  # items checked together against a text, about; a text with more candidates is read once per so many
 
 
 def shingle_hashes(h: np.ndarray, w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,9 +167,13 @@ def contaminated(
     hits = map_batches(texts.select("key", "text"), _probe(bloom, sorted(sizes)), "key bigint, h bigint")
     pairs = stored(hits.join(entries, "h").select("key", "item").distinct(), "candidates")
     item_text = F.struct(F.col("item"), F.col("text"))
-    named = pairs.join(wanted.select(F.col("key").alias("item"), "text"), "item")
-    # Few per text: the items that share a signature shingle with it. A text is read once for all of them.
-    per_text = named.groupBy("key").agg(F.collect_list(item_text).alias("items"))
+    # Mostly few per text: the items that share a signature shingle with it. A text is read once for all
+    # of them; those of a text with many are spread over as many groups as keep each one small.
+    many = pairs.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > ITEMS)
+    parts = F.ceil(F.coalesce("n", F.lit(1)) / ITEMS)
+    slots = pairs.join(many, "key", "left").select("key", "item", F.pmod(F.xxhash64("item"), parts).alias("slot"))
+    named = slots.join(wanted.select(F.col("key").alias("item"), "text"), "item")
+    per_text = named.groupBy("key", "slot").agg(F.collect_list(item_text).alias("items")).drop("slot")
     id_type = texts.schema["doc_id"].dataType.simpleString()
     checked = texts.join(per_text, "key").mapInPandas(
         _verify, f"key bigint, doc_id {id_type}, item bigint, n_found bigint, n_shingles bigint"
