@@ -12,7 +12,7 @@ successors are sorted directly, in the order of the substrings between them (nam
 then by doubling); all others are induced by scanning the buckets of first bytes. The common
 prefix of neighbours in the suffix order then tells which places have a 400-byte string in common.
 
-An anchor with more than ``RUNS`` different runs is not gathered: its places are compared by
+An anchor with more than ``RUNS`` different runs or ``MOST_BYTES`` of them is not gathered: its places are compared by
 128-bit digests of their 400 bytes, counted by Spark, in however many tasks that takes.
 """
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskengine.llm.frames import id_text, map_batches, stored
 from riskengine.llm.tokens import U64
@@ -31,7 +31,9 @@ from riskengine.llm.tokens import U64
 LENGTH = 400
 GRAM = 64
 RUNS = 8192  # most different runs of one anchor that are sorted in one task
+MOST_BYTES = 6 << 20  # and most bytes of them; runs of periodic text are as long as the text
 SORT_BYTES = 1 << 20
+PLACES = 1 << 16  # digests handed to Spark at a time
 
 
 def anchors(body: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -326,15 +328,17 @@ def _place_digests(length: int):
                 *(batch.column(c).to_pylist() for c in ("anchor", "run", "size", "body"))
             ):
                 view = memoryview(body)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([anchor] * size, pa.int64()),
-                        pa.array([name] * size, pa.binary()),
-                        pa.array(np.arange(size, dtype=np.int32)),
-                        pa.array([digest(view[i : i + length]) for i in range(size)], pa.binary()),
-                    ],
-                    ["anchor", "run", "place", "d"],
-                )
+                for low in range(0, size, PLACES):
+                    at = range(low, min(size, low + PLACES))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([anchor] * len(at), pa.int64()),
+                            pa.array([name] * len(at), pa.binary()),
+                            pa.array(np.array(at, dtype=np.int32)),
+                            pa.array([digest(view[i : i + length]) for i in at], pa.binary()),
+                        ],
+                        ["anchor", "run", "place", "d"],
+                    )
 
     return run
 
@@ -388,14 +392,18 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     # One row per different run; an anchor's are counted by a second, combined aggregation.
     per_run = stored(per_run, "different-runs")
     per_anchor = per_run.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.sum("copies").alias("all"), F.max("inner").alias("any_inner")
+        F.count("*").alias("n"),
+        F.sum("copies").alias("all"),
+        F.max("inner").alias("any_inner"),
+        F.sum(F.col("size") + (length - 1)).alias("bytes"),
     )
+    hot = (F.col("n") > RUNS) | (F.col("bytes") > MOST_BYTES)
     live = per_run.join(per_anchor.filter("all > 1 or any_inner"), "anchor")
     # Copies of one run: every place of it occurs elsewhere.
     copied = live.filter("copies > 1").select("anchor", "run", F.lit(0).alias("low"), (F.col("size") - 1).alias("high"))
     sort_runs = live.filter("n > 1 or inner").select(
         F.col("first.key").alias("key"),
-        F.struct("anchor", "run", "first.start", "size", (F.col("n") > RUNS).alias("hot")).alias("w"),
+        F.struct("anchor", "run", "first.start", "size", hot.alias("hot")).alias("w"),
     )
     wanted = sort_runs.groupBy("key").agg(F.collect_list("w").alias("wanted"))
     bodies = stored(
@@ -412,8 +420,11 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         bodies.filter("hot").drop("hot"), _place_digests(length), "anchor bigint, run binary, place int, d binary"
     )
     twice = places.groupBy("anchor", "d").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    hot = places.join(twice, ["anchor", "d"]).select("anchor", "run", F.col("place").alias("low"), F.col("place").alias("high"))
-    marks = copied.union(sorted_).union(hot)
+    # Neighbouring places of a run become one span; a run has at most the places of a text.
+    by_place = Window.partitionBy("anchor", "run").orderBy("place")
+    islands = places.join(twice, ["anchor", "d"]).withColumn("island", F.col("place") - F.row_number().over(by_place))
+    marked = islands.groupBy("anchor", "run", "island").agg(F.min("place").alias("low"), F.max("place").alias("high")).drop("island")
+    marks = copied.union(sorted_).union(marked)
     hits = found.join(marks, ["anchor", "run"]).select(
         "key", F.struct((F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")).alias("s")
     )
