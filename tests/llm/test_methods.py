@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -11,11 +12,12 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from riskengine.llm import chunk_bpe, pii_tagger as P, simhash as S, suffixes as X
+from riskengine.llm import chunk_bpe, containment as C, pii_tagger as P, simhash as S, suffixes as X
 from riskengine.llm.components import components
 from riskengine.llm.frames import table
 from riskengine.llm.ftrl_langid import language_id
 from riskengine.llm.importance import kth_largest, resampled
+from riskengine.llm.line_windows import remove_repeated_windows
 from riskengine.llm.maxent_lm import lm_scores
 
 
@@ -84,9 +86,9 @@ def without(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [X.RUNS, 1])
-def test_repeats_equal_brute_force(spark, tiny_dir, most, monkeypatch):
-    monkeypatch.setattr(X, "RUNS", most)  # 1: every anchor with different runs takes the way for hot ones
+@pytest.mark.parametrize("limit, most", [("RUNS", X.RUNS), ("RUNS", 1), ("MOST_BYTES", 1000)])
+def test_repeats_equal_brute_force(spark, tiny_dir, limit, most, monkeypatch):
+    monkeypatch.setattr(X, limit, most)  # small: anchors with different or long runs take the way for hot ones
     docs = table(spark, tiny_dir, "documents").filter("length(text) < 6000")
     texts = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
     expected = dict(zip(texts, without(list(texts.values()), 400)))
@@ -94,6 +96,14 @@ def test_repeats_equal_brute_force(spark, tiny_dir, most, monkeypatch):
     assert found == expected and sum(x[1] for x in found.values()) > 0
 
 
+def test_repeats_of_a_periodic_text(spark, monkeypatch):
+    monkeypatch.setattr(X, "MOST_BYTES", 5000)
+    monkeypatch.setattr(X, "PLACES", 1000)
+    texts = [(1, "ab" * 20_000), (2, "a" * 399), (3, "x" + "ab" * 150)]
+    found = {r.doc_id: tuple(r)[1:4] for r in X.without_repeats(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert found == {1: (40_000, 40_000, 1), 2: (399, 0, 0), 3: (301, 0, 0)}
+
+
 def test_base_scores_equal_brute_force_and_the_model_beats_them(spark, tiny_dir):
     docs = table(spark, tiny_dir, "documents")
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.select("doc_id", "text").collect()}
@@ -144,6 +154,26 @@ def test_base_spans():
     assert P._said(P.base_spans(text)) == "email:0:5,ip:16:24,card:26:45,phone:48:65"
 
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_base_spans_equal_the_patterns(seed):
+    rng = random.Random(seed)
+    for _ in range(300):
+        text = "".join(rng.choice("a1._@ -+é"[: 5 + seed % 5]) for _ in range(rng.randint(1, 60)))
+        spans = P.base_spans(text)
+        assert [s[1:] for s in spans if s[0] == 0] == [m.span() for m in EMAIL.finditer(text)]
+        assert [s[1:] for s in spans if s[0] == 1] == [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+
+
+def test_base_spans_of_long_runs():
+    run = 300_000
+    spans = P.base_spans("a" * run + " x@y.z " + "1" * run + " " + "0" * 5000 + ".1.2.3")
+    assert spans == [(0, run + 1, run + 6), (1, 2 * run + 8, 2 * run + 5014)]
+
+
 def test_joins_that_do_not_hold_are_repaired():
     class Glue:
         """A stand-in whose words stick together: 'b c' is one token."""
@@ -170,6 +200,28 @@ def test_joins_that_do_not_hold_are_repaired():
     assert encoder.repaired(text, start, end, [7]) == encoder.whole([text])[0]
 
 
+@pytest.mark.parametrize("together", [C.ITEMS, 1])
+def test_items_of_a_text_in_several_groups(spark, tiny_dir, together, monkeypatch):
+    monkeypatch.setattr(C, "ITEMS", together)
+    docs, items = table(spark, tiny_dir, "documents"), table(spark, tiny_dir, "benchmark")
+    one = docs.agg(F.lit(-1).cast("bigint").alias("doc_id"), F.lit(" ").alias("text")).crossJoin(
+        items.agg(F.concat_ws(" ", F.sort_array(F.collect_list("text"))).alias("every"))
+    )
+    everything = docs.select("doc_id", "text").union(one.select("doc_id", "every"))
+    found = {(r.doc_id, r.item_id) for r in C.contaminated(everything, items).collect()}
+    shingles = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    split = {r.item_id: (r.text or "").encode().lower().split() for r in items.collect()}
+    expected = set()
+    for r in everything.collect():
+        words = (r.text or "").encode().lower().split()
+        own = {k: shingles(words, k) for k in range(1, 6)}
+        for i, w in split.items():
+            k = min(5, len(w))
+            if w and len(own[k] & shingles(w, k)) >= 0.8 * len(shingles(w, k)) - 1e-9:
+                expected.add((r.doc_id, i))
+    assert found == expected and sum(d == -1 for d, _ in found) > 1
+
+
 def test_kth_largest(spark):
     values = [float(x % 97) for x in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
@@ -205,3 +257,12 @@ def test_words_of_texts():
     keys = np.random.default_rng(2).integers(0, 2**63, 1000).astype(np.uint64)
     index = HashIndex(keys)
     assert (keys[index.find(keys)] == keys).all() and (index.find(keys + np.uint64(1))[:5] == -1).all()
+
+
+def test_lines_of_a_long_repeated_text(spark):
+    passage = "\n".join(f"line {i}" for i in range(60_000))
+    rows = [(1, passage), (2, f"own\n{passage}\nlast"), (3, "line 7\nline 8")]
+    found = {r.row.doc_id: r for r in remove_repeated_windows(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert (found[1].kept_text, found[1].n_removed) == (passage, 0)
+    assert (found[2].kept_text, found[2].n_removed) == ("own\nlast", 60_000)
+    assert (found[3].kept_text, found[3].n_lines) == ("line 7\nline 8", 2)
