@@ -3,8 +3,8 @@
 The tagger is trained in numpy on a bounded number of windows labelled with the spans that
 the patterns find, some of them rewritten into forms that the patterns miss (numbers without
 the plus sign, cards next to each other, spelled-out at signs). Texts are cut into
-overlapping windows on a fixed grid. A span must hold a digit or an at sign, so windows
-without either are skipped: they cannot give one. Spans that touch the rim of their window
+overlapping windows on a fixed grid. A span must hold a digit or an at sign, which may be
+spelled out as [at] or (at); windows without any are skipped: they cannot give one. Spans that touch the rim of their window
 are left to the next window; those of all windows of a text are then reconciled: the best
 first, none that overlaps one taken or one of the patterns', and each only if it has its kind's form.
 """
@@ -93,6 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+MARK = r"[0-9@]|[\[(]at"  # what any span holds
 # Forms of added spans: what the tagger proposes must look like its kind.
 ADDED = (
     re.compile(r"[A-Za-z0-9._%+-]+(@|\s?\[at\]\s?|\s?\(at\)\s?)[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -325,10 +326,20 @@ def reconciled(
     return added
 
 
+def _marks(c: np.ndarray) -> np.ndarray:
+    """Where a digit, an at sign or the bracket before a spelled-out one stands."""
+    mark = (c >= 26) & (c <= 36)  # the digits and the at sign
+    if len(c) > 3:
+        bracket, a, t = c[:-3], c[1:-2], c[2:-1]
+        opened = (bracket == ALPHABET.index("[")) | (bracket == ALPHABET.index("("))
+        mark[:-3] |= opened & (a == ALPHABET.index("a")) & (t == ALPHABET.index("t"))
+    return mark
+
+
 def _grid(text: str) -> list[tuple[int, np.ndarray]]:
-    """Windows of a text that hold a digit or an at sign, padded to the full width."""
+    """Windows of a text that hold a digit or an at sign, spelled out or not, padded to the full width."""
     c = codes(text)
-    mark = np.concatenate(([0], np.cumsum((c >= 26) & (c <= 36))))  # the digits and the at sign
+    mark = np.concatenate(([0], np.cumsum(_marks(c))))
     out = []
     for s in window_starts(len(c)):
         e = min(len(c), s + WIDTH)
@@ -365,7 +376,7 @@ def train(texts: DataFrame) -> Tagger | None:
     """A tagger fitted on at most ``SAMPLE_WINDOWS`` windows, or None where no span was found."""
     n = texts.count()
     chosen = texts.filter(as_fraction(F.xxhash64("key", F.lit(SEED))) <= F.lit(min(1.0, SAMPLE_DOCS / max(1, n))))
-    chosen = chosen.filter(F.col("text").cast("string").rlike("[0-9@]"))
+    chosen = chosen.filter(F.col("text").cast("string").rlike(MARK))
     rows = map_batches(chosen, _samples, "order bigint, labelled boolean, codes binary, tags binary")
     most = [(True, SAMPLE_WINDOWS * 3 // 4), (False, SAMPLE_WINDOWS // 4)]
     parts = [rows.filter(F.col("labelled") == x).orderBy("order").limit(k).toPandas() for x, k in most]

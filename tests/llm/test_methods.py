@@ -149,6 +149,27 @@ def test_skipped_windows_give_no_span():
     assert P.added_spans([text], [base], t)[0] == P.reconciled(text, base, every)
 
 
+@pytest.mark.parametrize("address", ["jane.doe [at] example.com", "jane.doe(at)example.com", "jane.doe (at) example.com"])
+def test_windows_with_a_spelled_out_at_sign_are_decoded(address):
+    class Seeing(P.Tagger):
+        """Tags the address wherever a window holds it whole."""
+
+        def decode(self, codes):
+            path = np.zeros(codes.shape, dtype=np.int64)
+            for row, window in zip(path, codes):
+                for i in range(P.WIDTH - len(address) + 1):
+                    if (window[i : i + len(address)] == P.codes(address)).all():
+                        row[i : i + len(address)] = 2
+                        row[i] = 1
+            return path, np.ones(codes.shape)
+
+    for shift in range(P.STRIDE):
+        text = "words only, " * 10 + "x" * shift + " write to " + address + " please" + ", words only" * 10
+        at = text.index(address)
+        assert P.added_spans([text], [[]], Seeing()) == [[(0, at, at + len(address))]]
+    assert re.search(P.MARK, text)
+
+
 def test_base_spans():
     text = "a@b.c 1.2.3.256 10.0.0.1, 4111 1111 1111 1111 x +1 (743) 555-3824, 4111111111111112"
     assert P._said(P.base_spans(text)) == "email:0:5,ip:16:24,card:26:45,phone:48:65"
