@@ -5,14 +5,16 @@ the patterns find, some of them rewritten into forms that the patterns miss (num
 the plus sign, cards next to each other, spelled-out at signs). Texts are cut into
 overlapping windows on a fixed grid. A span must hold a digit or an at sign, which may be
 spelled out as [at] or (at); windows without any are skipped: they cannot give one. Spans that touch the rim of their window
-are left to the next window; those of all windows of a text are then reconciled: the best
-first, none that overlaps one taken or one of the patterns', and each only if it has its kind's form.
+are left to a window that holds them whole: the next one, or else a wide one around the run,
+so that none shorter than ``LONGEST`` is lost by where it stands. Those of all windows of a text
+are then reconciled: the best first, none that overlaps one taken or one of the patterns', and each only if it has its kind's form.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 WIDTH, STRIDE = 80, 40
+LONGEST = 330  # characters of the longest address: 64, a spelled-out at sign with its spaces, 255, and some
 HIDDEN = 16
 SAMPLE_DOCS = 6000  # texts looked at for training windows, about; chosen by a hash of the id and text
 SAMPLE_WINDOWS = 1200  # most training windows
@@ -296,9 +299,12 @@ class Tagger:
         return path, lead.T
 
 
-def spans_of(path: np.ndarray, lead: np.ndarray, start: int, n: int) -> list[tuple[float, int, int, int]]:
-    """(score, kind, start, end) of the tag runs of a window that do not touch its rim inside the text."""
-    out, at = [], 0
+Span = tuple[float, int, int, int]  # score, kind, start, end
+
+
+def tag_runs(path: np.ndarray, lead: np.ndarray, start: int, n: int) -> tuple[list[Span], list[Span]]:
+    """The tag runs of a window that do not touch its rim inside the text, and those that do."""
+    whole, cut, at = [], [], 0
     while at < len(path):
         if not path[at]:
             at += 1
@@ -307,10 +313,34 @@ def spans_of(path: np.ndarray, lead: np.ndarray, start: int, n: int) -> list[tup
         while end < len(path) and path[end] == 2 + 2 * kind:
             end += 1
         inside = (at > 0 or start == 0) and (end < len(path) or start + end >= n)
-        if inside and start + end <= n:
-            out.append((float(lead[at:end].mean()), int(kind), start + at, start + end))
+        if start + at < n and (not inside or start + end <= n):
+            (whole if inside else cut).append((float(lead[at:end].mean()), int(kind), start + at, min(n, start + end)))
         at = end
-    return out
+    return whole, cut
+
+
+def spans_of(path: np.ndarray, lead: np.ndarray, start: int, n: int) -> list[Span]:
+    """(score, kind, start, end) of the tag runs of a window that do not touch its rim inside the text."""
+    return tag_runs(path, lead, start, n)[0]
+
+
+def wide_starts(whole: list[Span], cut: list[Span], base: list[tuple[int, int, int]], n: int) -> list[int]:
+    """Where windows of twice ``LONGEST`` start, so that each shorter span with a cut run in it lies inside one.
+
+    A run inside a whole one of its kind has been seen whole; one that meets a base span can give
+    nothing. Only some neighbours are looked at for that: one overlooked costs windows, no span.
+    """
+    seen, taken = sorted((k, a, b) for _, k, a, b in whole), sorted((a, b) for _, a, b in base)
+    starts: set[int] = set()
+    for kind, a, b in sorted({s[1:] for s in cut}):
+        i = bisect_right(seen, (kind, a, n))
+        if any(k == kind and x <= a and b <= y for k, x, y in seen[max(0, i - 4) : i]):
+            continue
+        i = bisect_right(taken, (a, n))
+        if any(x < b and a < y for x, y in taken[max(0, i - 4) : i + 1]):
+            continue
+        starts.update(x * LONGEST for x in range(max(0, a - LONGEST) // LONGEST, (b - 1) // LONGEST + 1))
+    return sorted(starts)
 
 
 def reconciled(
@@ -336,6 +366,13 @@ def _marks(c: np.ndarray) -> np.ndarray:
     return mark
 
 
+def _window(c: np.ndarray, start: int, width: int) -> np.ndarray:
+    w = np.full(width, PAD, dtype=np.int64)
+    part = c[start : start + width]
+    w[: len(part)] = part
+    return w
+
+
 def _grid(text: str) -> list[tuple[int, np.ndarray]]:
     """Windows of a text that hold a digit or an at sign, spelled out or not, padded to the full width."""
     c = codes(text)
@@ -344,9 +381,7 @@ def _grid(text: str) -> list[tuple[int, np.ndarray]]:
     for s in window_starts(len(c)):
         e = min(len(c), s + WIDTH)
         if mark[e] > mark[s]:
-            w = np.full(WIDTH, PAD, dtype=np.int64)
-            w[: e - s] = c[s:e]
-            out.append((s, w))
+            out.append((s, _window(c, s, WIDTH)))
     return out
 
 
@@ -398,13 +433,25 @@ def added_spans(texts: list[str], bases: list[list], tagger: Tagger | None) -> l
     found: list[list] = [[] for _ in texts]
     if tagger is None:
         return found
-    windows = [(i, s, w) for i, text in enumerate(texts) for s, w in _grid(text)]
-    for at in range(0, len(windows), DECODE):
-        part = windows[at : at + DECODE]
-        path, lead = tagger.decode(np.stack([w for *_, w in part]))
-        for (i, s, w), p, d in zip(part, path, lead):
-            if p.any():
-                found[i] += spans_of(p, d, s, len(texts[i]))
+    cut: list[list] = [[] for _ in texts]
+
+    def decoded(windows: list[tuple[int, int, np.ndarray]], together: int) -> None:
+        for at in range(0, len(windows), together):
+            part = windows[at : at + together]
+            path, lead = tagger.decode(np.stack([w for *_, w in part]))
+            for (i, s, w), p, d in zip(part, path, lead):
+                if p.any():
+                    whole, pieces = tag_runs(p, d, s, len(texts[i]))
+                    found[i] += whole
+                    cut[i] += pieces
+
+    decoded([(i, s, w) for i, text in enumerate(texts) for s, w in _grid(text)], DECODE)
+    wide = []
+    for i, text in enumerate(texts):
+        if cut[i] and (starts := wide_starts(found[i], cut[i], bases[i], len(text))):
+            c = codes(text)
+            wide += [(i, s, _window(c, s, 2 * LONGEST)) for s in starts]
+    decoded(wide, DECODE * WIDTH // (2 * LONGEST))
     return [reconciled(text, base, spans) for text, base, spans in zip(texts, bases, found)]
 
 

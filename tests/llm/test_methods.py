@@ -170,6 +170,23 @@ def test_windows_with_a_spelled_out_at_sign_are_decoded(address):
     assert re.search(P.MARK, text)
 
 
+@pytest.mark.parametrize("length", [41, 50, 79, 120, 329])
+def test_long_addresses_are_found_at_every_offset(length):
+    class Seeing(P.Tagger):
+        """Tags what a window holds of the address: all but spaces and semicolons."""
+
+        def decode(self, codes):
+            own = ~np.isin(codes, [*P.codes("; "), P.PAD])
+            before = np.pad(own, ((0, 0), (1, 0)))[:, :-1]
+            return np.where(own, np.where(before, 2, 1), 0), np.ones(codes.shape)
+
+    address = "firstname.lastname(at)" + ("mail." * length)[: length - 25] + "com"
+    for shift in range(P.STRIDE):
+        text = "; " * 200 + ";" * shift + " " + address + " " + "; " * 200
+        at = text.index(address)
+        assert P.added_spans([text], [[]], Seeing()) == [[(0, at, at + length)]]
+
+
 def test_base_spans():
     text = "a@b.c 1.2.3.256 10.0.0.1, 4111 1111 1111 1111 x +1 (743) 555-3824, 4111111111111112"
     assert P._said(P.base_spans(text)) == "email:0:5,ip:16:24,card:26:45,phone:48:65"
