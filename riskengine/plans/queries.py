@@ -32,8 +32,6 @@ QUERIES: dict[str, Query] = {}
 
 CARD_COLS = ["V1", "V2", "V3", "Amount"]
 THRESHOLDS = [round(0.1 * i, 1) for i in range(1, 10)]
-# Small training settings: the queries show the jobs, not a tuned model.
-QUICK = {"num_round": 8, "max_depth": 4}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -467,19 +465,19 @@ def _train_test(spark, d, features, keep=()):
 
 @query("feat_rfe")
 def _(spark, d):
-    return ML.rfe(ML.assemble(T.cards(spark, d), CARD_COLS), CARD_COLS, 2, trees=10, depth=4)
+    return ML.rfe(ML.assemble(T.cards(spark, d), CARD_COLS), CARD_COLS, 2)
 
 
 @query("feat_rf_importance")
 def _(spark, d):
-    return ML.rf_importance(ML.assemble(T.cards(spark, d), CARD_COLS), CARD_COLS, trees=20)
+    return ML.rf_importance(ML.assemble(T.cards(spark, d), CARD_COLS), CARD_COLS)
 
 
 @query("feat_impact")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
     best = [r[0] for r in FE.select_k_best(T.cards(spark, d), "Class", CARD_COLS, 2).select("feature").collect()]
-    return ML.feature_impact(train, test, CARD_COLS, best, QUICK)
+    return ML.feature_impact(train, test, CARD_COLS, best)
 
 
 # ---------------------------------------------------------------- aggregates and profiles
@@ -797,14 +795,14 @@ def _(spark, d):
 @query("ml_train_gbt")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
-    scored = ML.positive_probability(ML.train_gbt(train, QUICK), test).select("label", "score")
+    scored = ML.positive_probability(ML.train_gbt(train), test).select("label", "score")
     return E.classification_metrics(scored).withColumns(r6(*RATES))
 
 
 @query("ml_score_batch")
 def _(spark, d):
     train, _ = _train_test(spark, d, CARD_COLS)
-    model = ML.train_gbt(train, QUICK)
+    model = ML.train_gbt(train)
     rows = T.cards(spark, d)
     scored = ML.score_rows(rows, model, CARD_COLS, (F.col("Time") * 1000).cast("bigint"))
     return scored.select("event_id", F.col("fraud_score").between(0.0, 1.0).alias("is_probability"), "scoring_ms")
@@ -826,7 +824,7 @@ def _(spark, d):
 @query("ml_compare")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
-    return ML.compare_algorithms(train, test, ML.default_algorithms(len(CARD_COLS), rounds=8, trees=10, iterations=15))
+    return ML.compare_algorithms(train, test, ML.default_algorithms(len(CARD_COLS)))
 
 
 @query("ml_grid_search")
@@ -843,21 +841,21 @@ def _(spark, d):
 @query("ml_random_search")
 def _(spark, d):
     train, val = _train_test(spark, d, CARD_COLS)
-    space = {"max_depth": [2, 3, 4], "eta": lambda rng: rng.uniform(0.01, 0.3), "num_round": 4}
-    trials = ML.random_search(train, val, space, 3, metric="f1")
+    space = {"max_depth": [3, 5, 7, 10], "eta": lambda rng: rng.uniform(0.01, 0.3)}
+    trials = ML.random_search(train, val, space, 10, metric="f1")
     return trials.select("trial_no", "method", F.to_json("params").alias("params"), F.to_json("metrics").alias("metrics"), "score")
 
 
 @query("ml_probe")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
-    return ML.probe(ML.train_gbt(train, QUICK), test).select("probed", "healthy")
+    return ML.probe(ML.train_gbt(train), test).select("probed", "healthy")
 
 
 @query("ml_cv_grid")
 def _(spark, d):
     vectors = ML.assemble(T.cards(spark, d), CARD_COLS, keep=["event_id"])
-    trials = ML.cv_grid_search(vectors, "event_id", ML.gbt({"num_round": 3}), {"maxDepth": [2, 4]})
+    trials = ML.cv_grid_search(vectors, "event_id", ML.gbt(), {"maxDepth": [2, 4]})
     return trials.select(
         "trial_no", F.element_at("params", "maxDepth").alias("max_depth"),
         F.col("mean_score").between(0.0, 1.0).alias("is_share"),
