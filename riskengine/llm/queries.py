@@ -13,10 +13,13 @@ from riskengine.llm.frames import table
 from riskengine.llm.ftrl_langid import language_id
 from riskengine.llm.host_rules import quality_rules
 from riskengine.llm.importance import resampled
+from riskengine.llm.interval_merkle import lower_cased_fifth, merkle_manifest
 from riskengine.llm.line_windows import remove_repeated_windows
 from riskengine.llm.maxent_lm import lm_scores
+from riskengine.llm.phrase_prints import phrase_fingerprints
 from riskengine.llm.pii_tagger import personal_data
 from riskengine.llm.simhash import near_duplicates
+from riskengine.llm.strata_search import ranked_search
 from riskengine.llm.suffixes import without_repeats
 
 VOCABULARY = "word_bpe_49k.json"
@@ -67,6 +70,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"), lower_cased_fifth())
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_language_id,
         op10_quality_rules,
+        op11_fingerprints,
+        op12_merkle_manifest,
+        op13_ranked_search,
     )
 }

@@ -35,7 +35,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power_tables(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them."""
     have = _tables.get(which)
     if have is None or len(have[0]) < n:
@@ -84,7 +84,7 @@ class Words:
     first: np.ndarray
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        power, inverse = _power_tables(which, len(self.low) + 1)
+        power, inverse = power_tables(which, len(self.low) + 1)
         sums = np.zeros(len(self.low) + 1, dtype=np.uint64)
         np.cumsum(BYTE_VALUES[which][self.low] * power[: len(self.low)], out=sums[1:])
         return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
