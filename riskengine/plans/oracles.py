@@ -226,7 +226,7 @@ ORACLES: dict[str, str] = {
     ),
     "sink_manifest": over(
         "split_cards",
-        sql="""SELECT 'DataPrepStage' AS stage, 'SUCCESS' AS status, 'Time,V1,V2,V3,Amount' AS features, split, count(*) AS n
+        sql=f"""SELECT 'DataPrepStage' AS stage, 'SUCCESS' AS status, '{','.join(CARD_FEATURES)}' AS features, split, count(*) AS n
         FROM split_cards GROUP BY split""",
     ),
     "sink_upsert_scored": over(
@@ -616,13 +616,17 @@ ORACLES: dict[str, str] = {
     ),
     # model queries: what holds for any fit
     "ml_score_batch": over(
-        "cards", sql="SELECT event_id, true AS is_probability, cast(Time * 1000 AS bigint) AS scoring_ms FROM cards"
+        "cards",
+        sql="SELECT event_id, true AS is_probability, cast(Time * 1000 AS bigint) AS scoring_ms, true AS tells_apart FROM cards",
+    ),
+    "ml_probe": over(
+        "split_cards", sql="SELECT count(*) AS probed, true AS healthy, true AS tells_apart FROM split_cards WHERE split <> 'train'"
     ),
-    "ml_probe": over("split_cards", sql="SELECT count(*) AS probed, true AS healthy FROM split_cards WHERE split <> 'train'"),
-    "ml_grid_search": """SELECT cast(row_number() OVER (ORDER BY max_depth, eta) - 1 AS int) AS trial_no, 'grid' AS method,
-        max_depth, eta, '4' AS num_round, true AS judged FROM (SELECT unnest(['2', '4']) AS max_depth), (SELECT unnest(['0.1', '0.2']) AS eta)""",
-    "ml_cv_grid": """SELECT cast(depth / 2 - 1 AS int) AS trial_no, cast(depth AS varchar) AS max_depth, true AS is_share
-        FROM (SELECT unnest([2, 4]) AS depth)""",
+    "ml_grid_search": """SELECT cast(9 * d + 3 * e + n AS int) AS trial_no, 'grid' AS method, ['3', '5', '7'][d + 1] AS max_depth,
+        ['0.01', '0.1', '0.2'][e + 1] AS eta, ['50', '100', '150'][n + 1] AS num_round, true AS judged, true AS tells_apart
+        FROM range(3) d(d), range(3) e(e), range(3) n(n)""",
+    "ml_cv_grid": """SELECT cast(3 * d + e AS int) AS trial_no, ['5', '7', '10'][d + 1] AS max_depth,
+        ['0.15', '0.2', '0.25'][e + 1] AS eta, true AS tells_apart, true AS is_spread FROM range(3) d(d), range(3) e(e)""",
     "drift_board": over(
         "daily",
         sql="""SELECT metric, round(recent, 6) AS recent, round(baseline, 6) AS baseline, round(recent - baseline, 6) AS change FROM (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskengine import schemas
 from riskengine.functions.scalars import stable_hash
 
 # Model scores have no column in the given tables: amount / 200, at most 1.
@@ -85,6 +86,13 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cards`` with all the columns that the quality gate asks for."""
+    rest = {c: (F.col("event_id") * i % 101).cast("double") for i, c in enumerate(schemas.PCA_FEATURES, 1) if i > 3}
+    rows = cards(spark, sf_dir).withColumns(rest)
+    return rows.select("event_id", *schemas.CARD_FEATURES, schemas.TARGET)
+
+
 def tx_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tx`` with nulls and NaNs put into ``amount``."""
     return tx(spark, sf_dir).select(

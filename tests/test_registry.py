@@ -73,7 +73,7 @@ def test_current_params_feed_an_estimator(spark):
 
     hist = spark.createDataFrame([("eta", "0.3", 1), ("eta", "0.4", 2), ("max_depth", "3", 1)], "path string, value string, version long")
     est = gbt(RG.current_params(hist))
-    assert (est.getStepSize(), est.getMaxDepth(), est.getMaxIter()) == (0.4, 3, 150)
+    assert (est.eta, est.depth, est.rounds) == (0.4, 3, 150)
 
 
 def test_promote_writes_valid_runs_and_returns_the_rest(spark):
