@@ -42,6 +42,7 @@ RATE = 0.5  # of three active features a third is safe; a half converges faster
 PRIOR = 1.0  # pseudo-count of a weight
 ADD = 0.1  # pseudo-count of a word
 BLOCK = 256
+COUNTED_AT_ONCE = 1 << 20  # tokens that a task counts together
 # The end of a text has a key of its own; no word hash is reserved for it, both hashes would have to agree.
 END = (U64(0x5EED0FE2D0000001), U64(0x5EED0FE2D0000003))
 
@@ -81,23 +82,36 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _gathered(parts: Iterator[tuple[np.ndarray, ...]], rows: int) -> Iterator[list[np.ndarray]]:
+    """Arrays of many parts put together, about ``rows`` long, so that what a task counts it counts once."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= rows:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held, size = [], 0
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, h1, h2, tail, _ in _streams(batch.column("text")):
-            order = np.argsort(h1, kind="stable")
-            a, b = h1[order], h2[order]
-            new = np.ones(len(a), dtype=bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            at = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_signed(a[at])),
-                    pa.array(_signed(b[at])),
-                    pa.array(tail[order[at]]),
-                    pa.array(np.diff(np.append(at, len(a))).astype(np.int64)),
-                ],
-                ["h1", "h2", "tail", "n"],
-            )
+    runs = ((h1, h2, tail) for batch in batches for _, _, h1, h2, tail, _ in _streams(batch.column("text")))
+    for h1, h2, tail in _gathered(runs, COUNTED_AT_ONCE):
+        order = np.argsort(h1, kind="stable")
+        a, b = h1[order], h2[order]
+        new = np.ones(len(a), dtype=bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        at = np.flatnonzero(new)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(_signed(a[at])),
+                pa.array(_signed(b[at])),
+                pa.array(tail[order[at]]),
+                pa.array(np.diff(np.append(at, len(a))).astype(np.int64)),
+            ],
+            ["h1", "h2", "tail", "n"],
+        )
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -159,14 +173,20 @@ def _contexts(symbol: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _symbol_counts(lexicon):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray]]:
         lex = lexicon.value
         for batch in batches:
             for _, _, h1, h2, tail, first in _streams(batch.column("text")):
                 s = lex.symbols(lex.find(h1, h2), tail)
                 one, two = _contexts(s, first)
-                key, n = np.unique((one * SYMBOLS + two) * SYMBOLS + s, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+                yield ((one * SYMBOLS + two) * SYMBOLS + s,)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (every,) in _gathered(keys(batches), 2 * COUNTED_AT_ONCE):
+            key, n = np.unique(every, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key // SYMBOLS), pa.array(key), pa.array(n.astype(np.int64))], ["context", "key", "n"]
+            )
 
     return run
 
@@ -223,7 +243,7 @@ def _class_of(symbol: np.ndarray) -> np.ndarray:
     return np.where(symbol < HEAD, symbol // IN_CLASS, HEAD_CLASSES + symbol - HEAD)
 
 
-STEP = 1 << 15  # contexts of one sparse batch
+STEP = 1 << 15  # counts, or contexts, of one sparse batch
 
 
 def _blocks(kind: str, array: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
@@ -252,10 +272,9 @@ def _gradient(model, observe: bool):
         }
         if observe:
             sums |= {"observed": np.zeros((COARSE_ROWS, CLASSES)), "fine observed": np.zeros((FINE_ROWS, IN_CLASS))}
-        for batch in batches:
-            key, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "n"))
-            for at in range(0, len(key), STEP):
-                _observe(m, key[at : at + STEP], n[at : at + STEP].astype(np.float32), sums, observe)
+        rows = ([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "n")] for batch in batches)
+        for key, n in _gathered(rows, STEP):
+            _observe(m, key, n.astype(np.float32), sums, observe)
         out = [row for kind, array in sums.items() for row in _blocks(kind, array)]
         kinds, blocks, values = zip(*out) if out else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -302,8 +321,10 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model:
     """Fit on the texts of ``docs``; the driver sees sums per weight row only, a fixed number of them."""
     spark = docs.sparkSession
     lex = spark.sparkContext.broadcast(lexicon)
-    part = map_batches(docs.select("text"), _symbol_counts(lex), "key bigint, n bigint")
-    counts = stored(part.groupBy("key").agg(F.sum("n").alias("n")), "lm-contexts")
+    part = map_batches(docs.select("text"), _symbol_counts(lex), "context bigint, key bigint, n bigint")
+    # All counts of a context lie side by side: what the model expects there is computed once a round.
+    counts = part.repartition("context").groupBy("context", "key").agg(F.sum("n").alias("n"))
+    counts = stored(counts.select("key", "n").sortWithinPartitions("key"), "lm-contexts")
     by_symbol = counts.groupBy((F.col("key") % SYMBOLS).cast("int").alias("s")).agg(F.sum("n").alias("n")).collect()
     seen = np.zeros(SYMBOLS)
     for row in by_symbol:  # at most one per symbol
