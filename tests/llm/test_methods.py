@@ -89,13 +89,30 @@ def without(texts, length):
 @pytest.mark.parametrize("limit, most", [("RUNS", X.RUNS), ("RUNS", 1), ("MOST_BYTES", 1000)])
 def test_repeats_equal_brute_force(spark, tiny_dir, limit, most, monkeypatch):
     monkeypatch.setattr(X, limit, most)  # small: anchors with different or long runs take the way for hot ones
-    docs = table(spark, tiny_dir, "documents").filter("length(text) < 6000")
+    docs = table(spark, tiny_dir, "documents")
     texts = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
     expected = dict(zip(texts, without(list(texts.values()), 400)))
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in X.without_repeats(docs).collect()}
     assert found == expected and sum(x[1] for x in found.values()) > 0
 
 
+def test_passages_go_from_400_bytes_on(spark):
+    """Planted once in each of two texts: a shorter passage stays, whatever its number of words."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    texts, planted = [], {}
+    for size in (300, 306, 350, 390, 399, 400, 401, 450, 600):
+        passage = " ".join(word() for _ in range(120))[:size]
+        assert size < 306 or len(passage.split()) > 50
+        for _ in range(2):
+            own = chr(ord("A") + len(texts))  # a letter of its own ends the passage on both sides
+            texts.append((len(texts), " ".join(word() for _ in range(30)) + own + passage + own + word()))
+            planted[len(texts) - 1] = size
+    found = {r.doc_id: r for r in X.without_repeats(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    for i, size in planted.items():
+        assert found[i].n_removed == (size if size >= 400 else 0) and found[i].n_bytes == len(texts[i][1])
+
+
 def test_repeats_of_a_periodic_text(spark, monkeypatch):
     monkeypatch.setattr(X, "MOST_BYTES", 5000)
     monkeypatch.setattr(X, "PLACES", 1000)
