@@ -840,7 +840,7 @@ def _(spark, d):
 @query("ml_compare")
 def _(spark, d):
     train, test = _train_test(spark, d, CARD_COLS)
-    return ML.compare_algorithms(train, test, ML.default_algorithms(len(CARD_COLS)))
+    return ML.compare_algorithms(train, test, ML.default_algorithms())
 
 
 @query("ml_grid_search")
