@@ -26,7 +26,7 @@ from riskengine.plans.prepare import prepare
 from riskengine.plans.promote import promote
 from riskengine.plans.train import published_model
 from riskengine.session import checkpointed, shared_dir, work_dir
-from riskengine.sources import readers as RD, sinks as SK, tables as T
+from riskengine.sources import readers as RD, sinks as SK, tables as T, versions as VS
 from riskengine.streaming import arrivals as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,9 +168,9 @@ STORE_COLS = ["transaction_id", "timestamp_ms", "batch_date", "amount", "merchan
 @query("sink_upsert_scored")
 def _(spark, d):
     path = work_dir(spark, "store")
-    SK.upsert_scored(T.scored(spark, d).select(STORE_COLS), path)
-    SK.upsert_scored(_rescored(spark, d).select(STORE_COLS), path)
-    return spark.read.parquet(path).select(*STORE_COLS).withColumns(r6("fraud_score"))
+    VS.upsert(T.scored(spark, d).select(STORE_COLS), path)
+    VS.upsert(_rescored(spark, d).select(STORE_COLS), path)
+    return VS.read(spark, path).select(*STORE_COLS).withColumns(r6("fraud_score"))
 
 
 @query("sink_daily_metrics")
@@ -1041,8 +1041,8 @@ def _score_stream(rows: DataFrame) -> DataFrame:
 @query("stream_scored")
 def _(spark, d):
     store = work_dir(spark, "store")
-    ST.stream_score(_arriving(spark, _deliver(spark, d, 2)), _score_stream, store, work_dir(spark, "progress"))
-    return spark.read.parquet(store).select("transaction_id", "batch_date", F.round("fraud_score", 6).alias("fraud_score"), "risk_band")
+    ST.stream_score(_arriving(spark, _deliver(spark, d, 2)), _score_stream, store, work_dir(spark, "progress"), upsert=VS.upsert)
+    return VS.read(spark, store).select("transaction_id", "batch_date", F.round("fraud_score", 6).alias("fraud_score"), "risk_band")
 
 
 @query("stream_daily_summary")
@@ -1056,5 +1056,6 @@ def _(spark, d):
 @query("stream_dedup")
 def _(spark, d):
     out = work_dir(spark, "unique")
-    ST.stream_dedup(_arriving(spark, _deliver(spark, d, 2)), ["transaction_id", "timestamp_ms"], out, work_dir(spark, "progress"))
+    keys = ["transaction_id", "timestamp_ms"]
+    ST.stream_dedup(_arriving(spark, _deliver(spark, d, 2)), keys, out, work_dir(spark, "progress"), VS.key_day())
     return spark.read.parquet(out).select("event_id", "transaction_id", "timestamp_ms", "amount")

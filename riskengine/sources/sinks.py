@@ -34,11 +34,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def clear_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def clear_days(spark: SparkSession, path: str, days: Iterable[object], day: str = "batch_date") -> None:
     """Remove the folders of these days."""
     for value in days:
-        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={value}")
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        clear_folder(spark, f"{path.rstrip('/')}/{day}={value}")
 
 
 def drop_old_days(spark: SparkSession, path: str, keep: int, as_of: str | dt.date, day: str = "batch_date") -> list[str]:
