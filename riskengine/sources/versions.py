@@ -24,8 +24,10 @@ import json
 import urllib.parse
 import uuid
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskengine.operators.risk import latest_per_key
@@ -191,8 +193,12 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str] = STORE_KEYS, part: Co
         rows = old.join(mine, _same("old", "new", keys), "left_anti").unionByName(winners, allowMissingColumns=True)
         schema = rows.schema
 
-    written = _write(rows, f"{before.path}/data", commit, DAY, [c for c in ("fraud_score",) if c in schema.names])
-    indexed = _write(index, f"{before.path}/keys", commit, PART, [])
+    sort = [c for c in ("fraud_score",) if c in schema.names]
+    with ThreadPoolExecutor(2) as pool:  # neither needs the other
+        write = inheritable_thread_target(spark)(_write)
+        data = pool.submit(write, rows, f"{before.path}/data", commit, DAY, sort)
+        listed = pool.submit(write, index, f"{before.path}/keys", commit, PART, [])
+    written, indexed = data.result(), listed.result()
     after = Snapshot(
         before.path,
         before.version + 1,
