@@ -1,7 +1,8 @@
 """Quality rules with a verdict per host, in DataFrame functions only.
 
-Each text has its own counts and a base verdict. Failures are counted per host; a host's
-rate is drawn towards the rate of all hosts by a beta prior whose strength is fitted to the
+Each text has its own counts and a base verdict. A text counts against its host if it fails
+the base rules, holds many symbols for its words or repeats many of its lines; a host's
+failure rate is drawn towards the rate of all hosts by a beta prior whose strength is fitted to the
 spread of the hosts' rates (method of moments), so that a host with few texts is not judged
 on them alone. Texts of a host whose drawn rate is over ``WORST`` go, whatever their own verdict.
 """
@@ -18,6 +19,9 @@ REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
+# Fixed values of the rules that count against the host only.
+SYMBOL_PERCENT = 10
+DUP_LINE_PERCENT = 30
 
 WORST = 0.5
 
@@ -62,7 +66,7 @@ def _covered() -> Column:
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(doc_id, host, counts, base_failed) per row. Null text has no words."""
+    """(doc_id, host, counts, base_failed, failed) per row; ``failed`` counts against the host. Null text has no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text.alias("text"))
     split = read.select("doc_id", "host", "text", _words(F.col("text")).alias("words"))
@@ -78,6 +82,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     keyed = hashed.select(
         "doc_id", "host", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        F.size("lines").alias("n_lines"),
         _repeat_words(F.col("h")).alias("keys"),
     )
     # Columns of their own, so that no lambda below works them out per element.
@@ -88,7 +93,9 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
         "n_repeat_words", F.when(F.col("order").isNull(), 0).otherwise(_covered()).cast("bigint")
     ).drop("order")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return counted.withColumn("base_failed", failed)
+    symbols = 100 * F.col("n_symbols") > SYMBOL_PERCENT * F.col("n_words")
+    lines = 100 * F.col("n_dup_lines") > DUP_LINE_PERCENT * F.col("n_lines")
+    return counted.withColumns({"base_failed": failed, "failed": failed | symbols | lines}).drop("n_lines")
 
 
 def host_verdicts(rules: DataFrame, worst: float = WORST) -> DataFrame:
@@ -98,7 +105,7 @@ def host_verdicts(rules: DataFrame, worst: float = WORST) -> DataFrame:
     s = m (1 - m) / v - 1, held between 1 and 1e6; hosts that do not differ give the largest s.
     """
     hosts = rules.groupBy("host").agg(
-        F.count("*").alias("n"), F.sum(F.col("base_failed").cast("int")).alias("failures")
+        F.count("*").alias("n"), F.sum(F.col("failed").cast("int")).alias("failures")
     )
     own = F.col("failures") / F.col("n")
     prior = hosts.agg(F.avg(own).alias("m"), F.var_pop(own).alias("v"))  # one row

@@ -43,11 +43,12 @@ covered AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(ra
 m AS (SELECT w.doc_id, source, len(ws)::BIGINT AS n_words,
              length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
              coalesce(covered.n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN covered USING (doc_id)),
 r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
-h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM r GROUP BY source),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines) AS f
+      FROM r GROUP BY source),
 q AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM h),
 s AS (SELECT m, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1e6 END AS s FROM q),
 verdict AS (SELECT source, (f + m * s) / (n + s) AS rate FROM h, s)
