@@ -3,12 +3,15 @@
 A token's probability is p(class | two tokens before) * p(token | class, two tokens before).
 Both factors are softmax models over three features of the context: the token before
 (bigram), the token two before (skip) and the pair (trigram). Weight rows of pairs, and of
-features joined with a class, are hashed, so the model has a fixed size.
+features joined with a class, are hashed.
 
 The most frequent words have classes of their own, ``IN_CLASS`` words each. All other words
-share ``TAIL_CLASSES`` classes, told apart by their last two bytes; within such a class a word
+share tail classes, told apart by their last two bytes; within such a class a word
 has its smoothed relative frequency over all training text, so every counted word, however
-rare, has its own probability, and one unseen word per class has the rest.
+rare, has its own probability, and one unseen word per class has the rest. As the token
+before, a rarer word is known by its own hash in its class; as the token two before, and in
+pairs, by its class. How many classes, word buckets and weight rows there are follows the
+distinct words of the training text (``Shape``), up to a bound that keeps the weights in memory.
 
 Training counts (context, token) over all training text with Spark. Each round sends the
 weights out; each task computes, from the counts it holds, what the model expects of every
@@ -19,7 +22,9 @@ and the bounded list of frequent words comes to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,13 +35,9 @@ from riskengine.llm.frames import held_out, id_text, map_batches, stored
 from riskengine.llm.tokens import HashIndex, U64, mix, words
 
 COUNTED = 1 << 18  # most words whose counts are sent to every task
-HEAD_CLASSES, IN_CLASS, TAIL_CLASSES = 32, 32, 16
-CLASSES = HEAD_CLASSES + TAIL_CLASSES
+HEAD_CLASSES, IN_CLASS = 32, 32
 HEAD = HEAD_CLASSES * IN_CLASS
-SYMBOLS = HEAD + TAIL_CLASSES + 1  # the last one: before the start of a text
-START = SYMBOLS - 1
-PAIR_ROWS = 1 << 13
-FINE_ROWS = 1 << 14
+MOST_TAILS = 64
 ROUNDS = 6
 RATE = 0.5  # of three active features a third is safe; a half converges faster and stays stable
 PRIOR = 1.0  # pseudo-count of a weight
@@ -51,8 +52,69 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _tail_class(last: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (mix(last.astype(np.uint64) * U64(256) + before) % U64(TAIL_CLASSES)).astype(np.int32)
+class Shape(NamedTuple):
+    """Sizes of a model, all powers of two."""
+
+    tails: int  # classes of the rarer words
+    near: int  # buckets by which a rarer word is told apart as the token before
+    pair_rows: int
+    fine_rows: int
+
+    @classmethod
+    def of(cls, distinct: int) -> Shape:
+        """The shape for a number of distinct training words; the upper bounds hold a task's weights and sums to about 270 MB."""
+
+        def sized(words_each: int, least: int, most: int) -> int:
+            return 1 << min(max(round(math.log2(max(1, distinct) / words_each)), least), most)
+
+        return cls(sized(1 << 13, 5, 6), sized(1 << 10, 8, 14), sized(1 << 8, 13, 15), sized(1 << 6, 15, 18))
+
+    @property
+    def classes(self) -> int:
+        return HEAD_CLASSES + self.tails
+
+    @property
+    def symbols(self) -> int:
+        """Head words, tail classes and, last, what is before the start of a text."""
+        return HEAD + self.tails + 1
+
+    @property
+    def start(self) -> int:
+        return self.symbols - 1
+
+    @property
+    def befores(self) -> int:
+        """What the token before can be: a head word, a bucket of a rarer one or, last, the start."""
+        return HEAD + self.near + 1
+
+    @property
+    def coarse_rows(self) -> int:
+        return self.befores + self.symbols + self.pair_rows
+
+    def before(self, symbol: np.ndarray, h: np.ndarray) -> np.ndarray:
+        own = self.near // self.tails
+        bucket = HEAD + (symbol - HEAD) * own + (h % U64(own)).astype(np.int64)
+        return np.where(symbol < HEAD, symbol, bucket)
+
+    def symbol_of(self, before: np.ndarray) -> np.ndarray:
+        return np.where(before < HEAD, before, HEAD + (before - HEAD) // (self.near // self.tails))
+
+    def rows(self, one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
+        """Weight rows of the three features."""
+        pair = mix((self.symbol_of(one) * self.symbols + two).astype(np.uint64)) % U64(self.pair_rows)
+        return [one, self.befores + two, self.befores + self.symbols + pair.astype(np.int64)]
+
+    def fine(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> list[np.ndarray]:
+        """Weight rows of the three features, each joined with a class."""
+        return [
+            (mix((f.astype(np.uint64) * U64(3) + U64(i)) * U64(self.classes) + cls.astype(np.uint64)) % U64(self.fine_rows)).astype(np.int64)
+            for i, f in enumerate((one, two, self.symbol_of(one) * self.symbols + two))
+        ]
+
+
+def _tail(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The widest tail class; a model with fewer takes the remainder."""
+    return (mix(last.astype(np.uint64) * U64(256) + before) % U64(MOST_TAILS)).astype(np.int32)
 
 
 def _streams(column: pa.Array) -> Iterator[tuple]:
@@ -65,7 +127,7 @@ def _streams(column: pa.Array) -> Iterator[tuple]:
         h1[place], h2[place] = w.hashes(0), w.hashes(1)
         tail = np.zeros(n + docs, dtype=np.int32)
         last = w.low[w.end - 1]
-        tail[place] = _tail_class(last, np.where(w.end - w.start > 1, w.low[w.end - 2], 0))
+        tail[place] = _tail(last, np.where(w.end - w.start > 1, w.low[w.end - 2], 0))
         doc = np.empty(n + docs, dtype=np.int64)
         doc[place], doc[ends] = w.doc, np.arange(w.docs.start, w.docs.stop)
         yield w.docs, doc, h1, h2, tail, np.concatenate(([0], ends + 1))
@@ -139,7 +201,8 @@ def frequent(counts: DataFrame, most: int = COUNTED) -> pd.DataFrame:
 class Lexicon:
     """Counts of the frequent words; the first ``HEAD`` of them, the end included, are modelled one by one."""
 
-    def __init__(self, top: pd.DataFrame):
+    def __init__(self, top: pd.DataFrame, shape: Shape):
+        self.shape = shape
         h1, h2 = top["h1"].to_numpy().view(np.uint64), top["h2"].to_numpy().view(np.uint64)
         end = (h1 == END[0]) & (h2 == END[1])
         n = top["n"].to_numpy()
@@ -156,20 +219,20 @@ class Lexicon:
         return at
 
     def symbols(self, at: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        return np.where((at >= 0) & (at < self.head), at, HEAD + tail).astype(np.int64)
+        return np.where((at >= 0) & (at < self.head), at, HEAD + tail % self.shape.tails).astype(np.int64)
 
 
-def _contexts(symbol: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols one and two places before, within each text."""
-    one, two = np.full(len(symbol), START), np.full(len(symbol), START)
-    one[1:], two[2:] = symbol[:-1], symbol[:-2]
+def _contexts(symbol: np.ndarray, h: np.ndarray, first: np.ndarray, shape: Shape) -> np.ndarray:
+    """What stands one and two places before, within each text, as one number."""
+    one, two = np.full(len(symbol), shape.befores - 1), np.full(len(symbol), shape.start)
+    one[1:], two[2:] = shape.before(symbol[:-1], h[:-1]), symbol[:-2]
     starts = first[:-1]
-    one[starts], two[starts] = START, START
+    one[starts] = shape.befores - 1
     second = starts + 1
-    two[second[second < len(symbol)]] = START
+    two[second[second < len(symbol)]] = shape.start
     # A text of one token has no second one: that place starts the next text.
-    two[starts] = START
-    return one, two
+    two[starts] = shape.start
+    return one * shape.symbols + two
 
 
 def _symbol_counts(lexicon):
@@ -178,38 +241,19 @@ def _symbol_counts(lexicon):
         for batch in batches:
             for _, _, h1, h2, tail, first in _streams(batch.column("text")):
                 s = lex.symbols(lex.find(h1, h2), tail)
-                one, two = _contexts(s, first)
-                yield ((one * SYMBOLS + two) * SYMBOLS + s,)
+                yield (_contexts(s, h1, first, lex.shape) * lex.shape.symbols + s,)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = lexicon.value.shape.symbols
         for (every,) in _gathered(keys(batches), 2 * COUNTED_AT_ONCE):
             key, n = np.unique(every, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key // SYMBOLS), pa.array(key), pa.array(n.astype(np.int64))], ["context", "key", "n"]
+                [pa.array(key // symbols), pa.array(key), pa.array(n.astype(np.int64))], ["context", "key", "n"]
             )
 
     return run
 
 
-def _rows(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
-    """Weight rows of the three features."""
-    pair = mix((one * SYMBOLS + two).astype(np.uint64)) % U64(PAIR_ROWS)
-    return [one, SYMBOLS + two, 2 * SYMBOLS + pair.astype(np.int64)]
-
-
-COARSE_ROWS = 2 * SYMBOLS + PAIR_ROWS
-
-
-def _fine_rows(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> list[np.ndarray]:
-    """Weight rows of the three features, each joined with a class."""
-    return [
-        (mix(((f.astype(np.uint64) * U64(3) + U64(i)) * U64(CLASSES) + cls.astype(np.uint64))) % U64(FINE_ROWS)).astype(
-            np.int64
-        )
-        for i, f in enumerate((one, two, one * SYMBOLS + two))
-    ]
-
-
 def _softmax(rows: list[np.ndarray], weights: np.ndarray, base: np.ndarray) -> np.ndarray:
     z = weights[rows[0]]
     z += weights[rows[1]]
@@ -224,19 +268,20 @@ def _softmax(rows: list[np.ndarray], weights: np.ndarray, base: np.ndarray) -> n
 class Model:
     """Weights: ``coarse`` (feature rows x classes), ``fine`` (feature rows x words of a class), and both priors."""
 
-    def __init__(self, class_n: np.ndarray, word_n: np.ndarray):
+    def __init__(self, class_n: np.ndarray, word_n: np.ndarray, shape: Shape):
+        self.shape = shape
         self.base = np.log((class_n + ADD) / (class_n + ADD).sum()).astype(np.float32)
         word = word_n.reshape(HEAD_CLASSES, IN_CLASS)
         # A place of a class that no word fills is out of reach.
         self.word_base = np.where(word < 0, -1e9, np.log(np.maximum(word, 0) + ADD)).astype(np.float32)
-        self.coarse = np.zeros((COARSE_ROWS, CLASSES), dtype=np.float32)
-        self.fine = np.zeros((FINE_ROWS, IN_CLASS), dtype=np.float32)
+        self.coarse = np.zeros((shape.coarse_rows, shape.classes), dtype=np.float32)
+        self.fine = np.zeros((shape.fine_rows, IN_CLASS), dtype=np.float32)
 
     def classes(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return _softmax(_rows(one, two), self.coarse, self.base)
+        return _softmax(self.shape.rows(one, two), self.coarse, self.base)
 
     def words(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return _softmax(_fine_rows(one, two, cls), self.fine, self.word_base[cls])
+        return _softmax(self.shape.fine(one, two, cls), self.fine, self.word_base[cls])
 
 
 def _class_of(symbol: np.ndarray) -> np.ndarray:
@@ -254,11 +299,11 @@ def _blocks(kind: str, array: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
 
 
 def _add_rows(into: np.ndarray, rows: list[np.ndarray], values: np.ndarray) -> None:
+    """Add row i of ``values`` to the row of ``into`` that each array of ``rows`` names at i."""
+    width = into.shape[1]
+    values = values.astype(np.float64).ravel()
     for r in rows:
-        order = np.argsort(r, kind="stable")
-        s = r[order]
-        at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        into[s[at]] += np.add.reduceat(values[order], at, axis=0)
+        np.add.at(into.reshape(-1), (r[:, None] * width + np.arange(width)).ravel(), values)
 
 
 def _gradient(model, observe: bool):
@@ -266,12 +311,9 @@ def _gradient(model, observe: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        sums = {
-            "expected": np.zeros((COARSE_ROWS, CLASSES)),
-            "fine expected": np.zeros((FINE_ROWS, IN_CLASS)),
-        }
+        sums = {"expected": np.zeros(m.coarse.shape), "fine expected": np.zeros(m.fine.shape)}
         if observe:
-            sums |= {"observed": np.zeros((COARSE_ROWS, CLASSES)), "fine observed": np.zeros((FINE_ROWS, IN_CLASS))}
+            sums |= {"observed": np.zeros(m.coarse.shape), "fine observed": np.zeros(m.fine.shape)}
         rows = ([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "n")] for batch in batches)
         for key, n in _gathered(rows, STEP):
             _observe(m, key, n.astype(np.float32), sums, observe)
@@ -286,25 +328,26 @@ def _gradient(model, observe: bool):
 
 
 def _observe(m: Model, key: np.ndarray, n: np.ndarray, sums: dict, observe: bool) -> None:
-    s = key % SYMBOLS
+    symbols, classes = m.shape.symbols, m.shape.classes
+    s = key % symbols
     cls = _class_of(s)
-    context, inverse = np.unique(key // SYMBOLS, return_inverse=True)
-    one, two = context // SYMBOLS, context % SYMBOLS
+    context, inverse = np.unique(key // symbols, return_inverse=True)
+    one, two = context // symbols, context % symbols
     total = np.bincount(inverse, weights=n, minlength=len(context)).astype(np.float32)
-    rows = _rows(one, two)
+    rows = m.shape.rows(one, two)
     _add_rows(sums["expected"], rows, m.classes(one, two) * total[:, None])
     if observe:
-        seen = np.zeros((len(context), CLASSES), dtype=np.float32)
+        seen = np.zeros((len(context), classes), dtype=np.float32)
         np.add.at(seen, (inverse, cls), n)
         _add_rows(sums["observed"], rows, seen)
     head = s < HEAD
     if not head.any():
         return
-    fine, inverse = np.unique((key[head] // SYMBOLS) * CLASSES + cls[head], return_inverse=True)
-    cls_f, ctx = fine % CLASSES, fine // CLASSES
-    one, two = ctx // SYMBOLS, ctx % SYMBOLS
+    fine, inverse = np.unique((key[head] // symbols) * classes + cls[head], return_inverse=True)
+    cls_f, ctx = fine % classes, fine // classes
+    one, two = ctx // symbols, ctx % symbols
     total = np.bincount(inverse, weights=n[head], minlength=len(fine)).astype(np.float32)
-    rows = _fine_rows(one, two, cls_f)
+    rows = m.shape.fine(one, two, cls_f)
     _add_rows(sums["fine expected"], rows, m.words(one, two, cls_f) * total[:, None])
     if observe:
         seen = np.zeros((len(fine), IN_CLASS), dtype=np.float32)
@@ -320,18 +363,19 @@ def _sum_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
 def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model:
     """Fit on the texts of ``docs``; the driver sees sums per weight row only, a fixed number of them."""
     spark = docs.sparkSession
+    shape = lexicon.shape
     lex = spark.sparkContext.broadcast(lexicon)
     part = map_batches(docs.select("text"), _symbol_counts(lex), "context bigint, key bigint, n bigint")
     # All counts of a context lie side by side: what the model expects there is computed once a round.
     counts = part.repartition("context").groupBy("context", "key").agg(F.sum("n").alias("n"))
     counts = stored(counts.select("key", "n").sortWithinPartitions("key"), "lm-contexts")
-    by_symbol = counts.groupBy((F.col("key") % SYMBOLS).cast("int").alias("s")).agg(F.sum("n").alias("n")).collect()
-    seen = np.zeros(SYMBOLS)
+    by_symbol = counts.groupBy((F.col("key") % shape.symbols).cast("int").alias("s")).agg(F.sum("n").alias("n")).collect()
+    seen = np.zeros(shape.symbols)
     for row in by_symbol:  # at most one per symbol
         seen[row["s"]] = row["n"]
-    class_n = np.bincount(_class_of(np.arange(START)), weights=seen[:START], minlength=CLASSES)
+    class_n = np.bincount(_class_of(np.arange(shape.start)), weights=seen[: shape.start], minlength=shape.classes)
     word_n = np.where(np.arange(HEAD) < lexicon.head, seen[:HEAD], -1)
-    model = Model(class_n, word_n)
+    model = Model(class_n, word_n, shape)
     schema = "kind string, block int, value binary"
     observed: dict[str, np.ndarray] = {}
     for r in range(rounds):
@@ -358,28 +402,28 @@ def _score(lexicon, model, figures: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, m = lexicon.value, model.value
+        symbols, classes = m.shape.symbols, m.shape.classes
         known = np.log10(lex.n + ADD)
         for batch in batches:
             ids = batch.column("doc_id")
             for docs, doc, h1, h2, tail, first in _streams(batch.column("text")):
                 at = lex.find(h1, h2)
                 s = lex.symbols(at, tail)
-                one, two = _contexts(s, first)
                 cls = _class_of(s)
-                context, inverse = np.unique(one * SYMBOLS + two, return_inverse=True)
+                context, inverse = np.unique(_contexts(s, h1, first, m.shape), return_inverse=True)
                 value = np.empty(len(s))
                 for lo in range(0, len(context), STEP):
                     pick = np.flatnonzero((inverse >= lo) & (inverse < lo + STEP))
                     ctx = context[lo : lo + STEP]
-                    p = m.classes(ctx // SYMBOLS, ctx % SYMBOLS)
+                    p = m.classes(ctx // symbols, ctx % symbols)
                     value[pick] = np.log10(p[inverse[pick] - lo, cls[pick]])
                 head = np.flatnonzero(s < HEAD)
-                fine, inverse = np.unique(context[inverse[head]] * CLASSES + cls[head], return_inverse=True)
+                fine, inverse = np.unique(context[inverse[head]] * classes + cls[head], return_inverse=True)
                 for lo in range(0, len(fine), STEP):
                     pick = np.flatnonzero((inverse >= lo) & (inverse < lo + STEP))
                     f = fine[lo : lo + STEP]
-                    ctx = f // CLASSES
-                    p = m.words(ctx // SYMBOLS, ctx % SYMBOLS, f % CLASSES)
+                    ctx = f // classes
+                    p = m.words(ctx // symbols, ctx % symbols, f % classes)
                     value[head[pick]] += np.log10(p[inverse[pick] - lo, s[head[pick]] % IN_CLASS])
                 rare = s >= HEAD
                 value[rare] -= tail_all[cls[rare] - HEAD_CLASSES]
@@ -436,18 +480,19 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", tex
     learn = texts.filter(~held_out("doc_id", 10, 0))
     counts = word_counts(learn)
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    lexicon = Lexicon(frequent(counts))
+    shape = Shape.of(total["v"])
+    lexicon = Lexicon(frequent(counts), shape)
     model = train(learn, lexicon, rounds)
     # Per tail class: tokens and distinct words of training text outside the modelled words.
-    by_class = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    tail_n, tail_words = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
+    by_class = counts.groupBy((F.col("tail") % shape.tails).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    tail_n, tail_words = np.zeros(shape.tails), np.zeros(shape.tails)
     for row in by_class:
         tail_n[row["tail"]], tail_words[row["tail"]] = row["n"], row["v"]
     head = pd.DataFrame({"h1": _signed(lexicon.h1[: lexicon.head]), "h2": _signed(lexicon.h2[: lexicon.head])})
     listed = spark.createDataFrame(head, "h1 bigint, h2 bigint")  # at most HEAD rows
     for row in counts.join(F.broadcast(listed), ["h1", "h2"]).select("tail", "n").collect():
-        tail_n[row["tail"]] -= row["n"]
-        tail_words[row["tail"]] -= 1
+        tail_n[row["tail"] % shape.tails] -= row["n"]
+        tail_words[row["tail"] % shape.tails] -= 1
     figures = {
         "train_tokens": total["n"] or 0,
         "distinct": total["v"],

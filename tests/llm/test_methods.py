@@ -18,7 +18,7 @@ from riskengine.llm.frames import table
 from riskengine.llm.ftrl_langid import language_id
 from riskengine.llm.importance import kth_largest, resampled
 from riskengine.llm.line_windows import remove_repeated_windows
-from riskengine.llm.maxent_lm import lm_scores
+from riskengine.llm.maxent_lm import HEAD, Shape, _add_rows, _contexts, lm_scores
 
 
 def test_covering_masks_lose_no_pair():
@@ -135,6 +135,37 @@ def test_base_scores_equal_brute_force_and_the_model_beats_them(spark, tiny_dir)
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_model_sizes_follow_the_distinct_words():
+    shapes = [Shape.of(n) for n in (0, 10**5, 10**6, 10**7, 10**8, 10**9)]
+    for small, large in itertools.pairwise(shapes):
+        assert all(a <= b for a, b in zip(small, large))
+    assert len(set(shapes[:-1])) > 3 and shapes[0].near >= shapes[0].tails
+    largest = Shape.of(10**12)  # the bound on memory
+    assert (largest.coarse_rows * largest.classes + largest.fine_rows * 32) * (2 * 8 + 4) < 270e6
+
+
+def test_contexts_know_rarer_words_by_their_hash():
+    shape = Shape(32, 256, 1 << 13, 1 << 15)
+    symbol, h = np.array([3, HEAD + 5, 7, 0, 9]), np.array([1, 2**64 - 3, 8, 9, 10], dtype=np.uint64)
+    found = _contexts(symbol, h, np.array([0, 4, 5]), shape)  # texts of four tokens and of one
+    one, two = found // shape.symbols, found % shape.symbols
+    bucket = HEAD + 5 * 8 + (2**64 - 3) % 8
+    assert one.tolist() == [shape.befores - 1, 3, bucket, 7, shape.befores - 1]
+    assert two.tolist() == [shape.start, shape.start, 3, HEAD + 5, shape.start]
+    assert shape.symbol_of(one).tolist() == [shape.start, 3, HEAD + 5, 7, shape.start]
+
+
+def test_sums_per_weight_row():
+    rng = np.random.default_rng(3)
+    rows, values, into = [rng.integers(0, 9, 50) for _ in range(3)], rng.random((50, 4), dtype=np.float32), np.ones((9, 4))
+    expected = np.ones((9, 4))
+    for r in rows:
+        for i, x in zip(r, values):
+            expected[i] += x
+    _add_rows(into, rows, values)
+    assert into == pytest.approx(expected)
+
+
 def test_tagger_gradient():
     t = P.Tagger(3)
     rng = np.random.default_rng(0)
