@@ -67,7 +67,7 @@ class Shape(NamedTuple):
         def sized(words_each: int, least: int, most: int) -> int:
             return 1 << min(max(round(math.log2(max(1, distinct) / words_each)), least), most)
 
-        return cls(sized(1 << 13, 5, 6), sized(1 << 10, 8, 14), sized(1 << 8, 13, 15), sized(1 << 6, 15, 18))
+        return cls(sized(1 << 13, 5, 6), sized(1 << 11, 8, 14), sized(1 << 8, 13, 15), sized(1 << 6, 15, 18))
 
     @property
     def classes(self) -> int:
@@ -245,10 +245,11 @@ def _symbol_counts(lexicon):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = lexicon.value.shape.symbols
-        for (every,) in _gathered(keys(batches), 2 * COUNTED_AT_ONCE):
+        for (every,) in _gathered(keys(batches), 4 * COUNTED_AT_ONCE):
             key, n = np.unique(every, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key // symbols), pa.array(key), pa.array(n.astype(np.int64))], ["context", "key", "n"]
+                [pa.array(key // symbols), pa.array((key % symbols).astype(np.int32)), pa.array(n.astype(np.int64))],
+                ["context", "symbol", "n"],
             )
 
     return run
@@ -365,10 +366,11 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model:
     spark = docs.sparkSession
     shape = lexicon.shape
     lex = spark.sparkContext.broadcast(lexicon)
-    part = map_batches(docs.select("text"), _symbol_counts(lex), "context bigint, key bigint, n bigint")
+    part = map_batches(docs.select("text"), _symbol_counts(lex), "context bigint, symbol int, n bigint")
     # All counts of a context lie side by side: what the model expects there is computed once a round.
-    counts = part.repartition("context").groupBy("context", "key").agg(F.sum("n").alias("n"))
-    counts = stored(counts.select("key", "n").sortWithinPartitions("key"), "lm-contexts")
+    counts = part.repartition("context").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    key = F.col("context") * shape.symbols + F.col("symbol")
+    counts = stored(counts.select(key.alias("key"), "n").sortWithinPartitions("key"), "lm-contexts")
     by_symbol = counts.groupBy((F.col("key") % shape.symbols).cast("int").alias("s")).agg(F.sum("n").alias("n")).collect()
     seen = np.zeros(shape.symbols)
     for row in by_symbol:  # at most one per symbol
@@ -377,13 +379,15 @@ def train(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model:
     word_n = np.where(np.arange(HEAD) < lexicon.head, seen[:HEAD], -1)
     model = Model(class_n, word_n, shape)
     schema = "kind string, block int, value binary"
+    # Each task sends sums of all weight rows: as many tasks as run at a time, however many files the counts have.
+    at_once = counts.coalesce(spark.sparkContext.defaultParallelism)
     observed: dict[str, np.ndarray] = {}
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model)
         sums = {k: np.zeros(a.shape) for k, a in (("expected", model.coarse), ("fine expected", model.fine))}
         if not r:
             sums |= {"observed": np.zeros(model.coarse.shape), "fine observed": np.zeros(model.fine.shape)}
-        parts = map_batches(counts, _gradient(sent, not r), schema)
+        parts = map_batches(at_once, _gradient(sent, not r), schema)
         for row in parts.groupBy("kind", "block").applyInPandas(_sum_blocks, schema).toLocalIterator():
             width = sums[row["kind"]].shape[1]
             part = np.frombuffer(row["value"], dtype=np.float32).reshape(-1, width)
