@@ -10,11 +10,16 @@ Each join of two chunks is then checked: the words on both sides are encoded tog
 compared with what was put together. If they differ, the window doubles on both sides until
 it agrees or is the whole text, which then is encoded as one. Stores hold a bounded number of bytes
 and are per Python worker, so nothing is shuffled.
+
+Only a vocabulary that marks the ends of words and decodes them with one space between
+(``words_apart``) can be put together so; with any other, as a byte-level one whose tokens
+hold spaces, each text is encoded whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -55,12 +60,25 @@ def joined(pieces: list[Piece]) -> Piece:
     return b"".join([p[0] for p in pieces]), b" ".join([p[1] for p in pieces if p[0]])
 
 
+def words_apart(spec: str, tokenizer: Tokenizer) -> bool:
+    """Whether a text's ids are those of its words one by one, by the file's settings and by a probe of each white space."""
+    settings = json.loads(spec)
+    if not settings["model"].get("end_of_word_suffix") or settings.get("decoder") is not None:
+        return False
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    return all(ids(f"{space}on{space}{space}he 1{space}") == ids("on") + ids("he") + ids("1") for space in " \t\n\v\f\r")
+
+
 class Encoder:
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.words_apart = words_apart(spec, self.tokenizer)
         self.words, self.chunks, self.joins = Store(), Store(), Store()
 
     def whole(self, texts: list[bytes]) -> list[Piece]:
@@ -142,6 +160,9 @@ def _encoder(spec: str) -> Encoder:
 
 def encoded(column: pa.Array, encoder: Encoder) -> Iterator[Piece]:
     """(ids, decoded text) of each text of a binary column."""
+    if not encoder.words_apart:
+        yield from encoder.whole(column.to_pylist())
+        return
     for w in words(column, lower=False):
         h = w.hashes(0)
         cut = np.zeros(len(h) + 1, dtype=bool)

@@ -99,6 +99,38 @@ def test_bpe(odd_docs, no_docs):
     assert bpe_digests(no_docs, VOCABULARY).count() == 0
 
 
+def test_bpe_of_a_byte_level_vocabulary(odd_docs):
+    """Its tokens hold the spaces, so words can't be encoded one by one."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    expected = []
+    for r in odd_docs.select("doc_id", "text").collect():
+        ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids
+        expected.append((str(r.doc_id), ids, tokenizer.decode(ids, skip_special_tokens=False)))
+    assert sorted((str(r.doc_id), r.ids, r.decoded) for r in bpe(odd_docs, path).collect()) == sorted(expected)
+
+
+def test_bpe_of_the_given_documents(spark, tiny_dir):
+    import hashlib
+
+    from tokenizers import Tokenizer
+
+    from riskengine.llm.chunk_bpe import Encoder
+    from riskengine.llm.frames import table
+
+    with open(VOCABULARY, encoding="utf-8") as f:
+        assert Encoder(f.read()).words_apart  # the reuse of chunks is what is tested here
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    docs = table(spark, tiny_dir, "documents").select("doc_id", "text")
+    found = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in bpe_digests(docs, VOCABULARY).collect()}
+    for r in docs.collect():
+        ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids
+        said = tokenizer.decode(ids, skip_special_tokens=False)
+        assert found[r.doc_id] == (len(ids), hashlib.sha256(said.encode()).hexdigest())
+
+
 def test_language_id(odd_docs, no_docs):
     rows = by_id(language_id(odd_docs))
     assert language_id(odd_docs).count() == odd_docs.count() and language_id(no_docs).count() == 0
