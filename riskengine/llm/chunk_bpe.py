@@ -8,8 +8,8 @@ only, which the vocabulary's normaliser and splitter never join across.
 
 Each join of two chunks is then checked: the words on both sides are encoded together and
 compared with what was put together. If they differ, the window doubles on both sides until
-it agrees or is the whole text, which then is encoded as one. Stores hold a bounded number of bytes
-and are per Python worker, so nothing is shuffled.
+it agrees or is the whole text, which then is encoded as one. Stores hold ids only, in a bounded number
+of bytes, and are per Python worker, so nothing is shuffled; a text is decoded from its own ids.
 
 Only a vocabulary that marks the ends of words and decodes them with one space between
 (``words_apart``) can be put together so; with any other, as a byte-level one whose tokens
@@ -23,6 +23,7 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,13 @@ from tokenizers import Tokenizer
 from riskengine.llm.frames import id_text, map_batches
 from riskengine.llm.tokens import U64, mix, words
 
+TEXT_BYTES = 1 << 17  # of the texts that are cut at once
 RESIDUE = 64  # one cut in about so many words
-STORE_BYTES = 80 << 20  # of each store
+WORDS_BYTES, STORE_BYTES = 64 << 20, 32 << 20  # of the store of words, and of each other
+AT_ONCE = 256  # texts given to the tokenizer at once: what it returns takes 1 to 2 KB a word
+
+LISTS = 128  # texts whose ids and decoded text are returned at once
+ENTRY_BYTES = 150  # of an entry, besides its key's and value's own bytes
 
 
 class Store(dict):
@@ -45,7 +51,7 @@ class Store(dict):
 
     def keep(self, more: dict) -> None:
         """Add pieces; nothing is looked up between this and the next texts."""
-        self.size += sum(len(k) + len(v[0]) + len(v[1]) + 150 for k, v in more.items())
+        self.size += sum(map(len, more)) + sum(map(len, more.values())) + ENTRY_BYTES * len(more)
         if self.size > self.most:
             self.clear()
             self.size = 0
@@ -53,6 +59,7 @@ class Store(dict):
 
 
 Piece = tuple[bytes, bytes]  # ids as little-endian 32-bit integers, decoded UTF-8
+HOLDS, BREAKS = (b"1", b""), (b"", b"")  # one object each, however many joins are kept
 
 
 def joined(pieces: list[Piece]) -> Piece:
@@ -79,17 +86,29 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.words_apart = words_apart(spec, self.tokenizer)
-        self.words, self.chunks, self.joins = Store(), Store(), Store()
+        self.tokens = {i: t.encode("utf-8") for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.words, self.chunks, self.joins = Store(WORDS_BYTES), Store(), Store()
 
     def whole(self, texts: list[bytes]) -> list[Piece]:
         """Pieces of texts as the tokenizer itself encodes and decodes them."""
-        found = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        said = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return [(array("I", i).tobytes(), s.encode("utf-8")) for i, s in zip(ids, said)]
+        out = []
+        for a in range(0, len(texts), AT_ONCE):
+            part = [t.decode("utf-8", "replace") for t in texts[a : a + AT_ONCE]]
+            ids = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+            packed = [array("I", i).tobytes() for i in ids]
+            if self.words_apart:
+                out += [(i, self.decoded(i)) for i in packed]
+            else:
+                said = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+                out += [(i, s.encode("utf-8")) for i, s in zip(packed, said)]
+        return out
+
+    def decoded(self, ids: bytes) -> bytes:
+        """What a tokenizer without a decoder makes of ids: their tokens with one space between."""
+        return b" ".join(map(self.tokens.__getitem__, array("I", ids)))
 
-    def looked_up(self, store: Store, keys: list[bytes], make) -> dict[bytes, Piece]:
-        """Pieces of ``keys``; those not in the store are made together and kept there."""
+    def looked_up(self, store: Store, keys: list[bytes], make) -> dict:
+        """What ``make`` gives for ``keys``; those not in the store are made together and kept there."""
         known = {k: store.get(k) for k in dict.fromkeys(keys)}
         new = [k for k, v in known.items() if v is None]
         if new:
@@ -98,22 +117,24 @@ class Encoder:
             store.keep(fresh)
         return known
 
-    def pieces(self, parts: list[bytes]) -> dict[bytes, Piece]:
-        return self.looked_up(self.words, parts, self.whole)
+    def ids(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word alone."""
+        return self.looked_up(self.words, parts, lambda new: [p[0] for p in self.whole(new)])
 
-    def new_chunks(self, bodies: list[bytes]) -> list[Piece]:
+    def new_chunks(self, bodies: list[bytes]) -> list[bytes]:
+        """The ids of chunks."""
         split = [b.split() for b in bodies]
-        known = self.pieces([w for parts in split for w in parts])
+        known = self.ids([w for parts in split for w in parts])
         get = known.__getitem__
-        return [joined(list(map(get, parts))) for parts in split]
+        return [b"".join(map(get, parts)) for parts in split]
 
     def new_joins(self, windows: list[bytes]) -> list[Piece]:
         """(1 if the two words of a window encode together as they do alone, else nothing; nothing)."""
         split = [w.split() for w in windows]
-        known = self.pieces([w for parts in split for w in parts])
+        known = self.ids([w for parts in split for w in parts])
         return [
-            (b"1" if together == joined([known[w] for w in parts]) else b"", b"")
-            for together, parts in zip(self.whole(windows), split)
+            HOLDS if together == b"".join([known[w] for w in parts]) else BREAKS
+            for (together, _), parts in zip(self.whole(windows), split)
         ]
 
     def repaired(self, text: bytes, start: list[int], end: list[int], joins: list[int]) -> Piece:
@@ -126,7 +147,8 @@ class Encoder:
 
         def alone(low: int, high: int) -> list[Piece]:
             parts = [text[a:b] for a, b in zip(start[low:high], end[low:high])]
-            known = self.pieces(parts)
+            distinct = list(dict.fromkeys(parts))
+            known = dict(zip(distinct, self.whole(distinct)))
             return [known[w] for w in parts]
 
         for at in joins:
@@ -163,7 +185,7 @@ def encoded(column: pa.Array, encoder: Encoder) -> Iterator[Piece]:
     if not encoder.words_apart:
         yield from encoder.whole(column.to_pylist())
         return
-    for w in words(column, lower=False):
+    for w in words(column, TEXT_BYTES, lower=False):
         h = w.hashes(0)
         cut = np.zeros(len(h) + 1, dtype=bool)
         if len(h) > 1:  # a cut before word i hangs on words i - 1 and i - 2
@@ -187,7 +209,8 @@ def encoded(column: pa.Array, encoder: Encoder) -> Iterator[Piece]:
             if bad:
                 yield encoder.repaired(text, start[a:b], end[a:b], bad)
             else:
-                yield joined([chunks[x] for x in bodies[first_chunk[i] : first_chunk[i + 1]]])
+                ids = b"".join([chunks[x] for x in bodies[first_chunk[i] : first_chunk[i + 1]]])
+                yield ids, encoder.decoded(ids)
 
 
 def _digest(sent):
@@ -211,15 +234,15 @@ def _lists(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent.value)
         for batch in batches:
-            both = list(encoded(batch.column("text"), encoder))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([np.frombuffer(a, dtype="<u4").astype(np.int32) for a, _ in both], pa.list_(pa.int32())),
-                    pa.array([b.decode("utf-8", "replace") for _, b in both], pa.string()),
-                ],
-                ["doc_id", "ids", "decoded"],
-            )
+            found = encoded(batch.column("text"), encoder)
+            for at in range(0, batch.num_rows, LISTS):
+                part = batch.column("doc_id").slice(at, LISTS)
+                ids, said = zip(*islice(found, len(part)))
+                offsets = np.cumsum([0, *map(len, ids)]) // 4
+                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+                decoded = pa.array(said, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([part, lists, decoded], ["doc_id", "ids", "decoded"])
 
     return run
 

@@ -286,6 +286,27 @@ def test_joins_that_do_not_hold_are_repaired():
     assert encoder.repaired(text, start, end, [7]) == encoder.whole([text])[0]
 
 
+def test_stores_take_no_more_memory_than_they_count():
+    import sys
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = chunk_bpe.Encoder(f.read())
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdeghinorst", k=rng.randint(3, 9))) for _ in range(2000)) for _ in range(15)]
+    found = list(chunk_bpe.encoded(pa.array([t.encode() for t in texts], pa.binary()), encoder))
+    expected = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [a for a, _ in found] == [np.array(e.ids, "<u4").tobytes() for e in expected]
+    assert [b.decode() for _, b in found] == encoder.tokenizer.decode_batch([e.ids for e in expected], skip_special_tokens=False)
+
+    def taken(x):
+        return sys.getsizeof(x) + (sum(map(taken, x)) if isinstance(x, tuple) else 0)
+
+    for store in (encoder.words, encoder.chunks, encoder.joins):
+        values = {id(v): v for v in store.values()}.values()
+        assert 100 < len(store) and sys.getsizeof(store) + sum(map(taken, store)) + sum(map(taken, values)) <= 1.1 * store.size
+
 @pytest.mark.parametrize("together", [C.ITEMS, 1])
 def test_items_of_a_text_in_several_groups(spark, tiny_dir, together, monkeypatch):
     monkeypatch.setattr(C, "ITEMS", together)
