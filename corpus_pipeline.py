@@ -31,7 +31,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group tied by 0.8 of their five-word shingles; of rows equal in id and text, one."""
+    """One document of each group tied by 0.8 of their five-word shingles; of rows equal in id and text, one.
+
+    Candidates are links of SimHash fingerprints, and of MinHash keys for what lies beyond their 3 bits.
+    """
     return with_keys(docs, one_per_group(docs), "left_semi").dropDuplicates(["doc_id", "text"])
 
 

@@ -1,13 +1,16 @@
 """Groups of near duplicates by the exact Jaccard similarity of their sets of five-word shingles.
 
-Texts with the same set are one node. Two nodes are candidates if they share one of ``BANDS``
-keys, each of ``ROWS`` MinHash values: at similarity s a pair shares none with probability
-(1 - s**ROWS)**BANDS, which is 5 in a million at 0.8 and less above. Every link is checked
-on the whole sets. First each node is checked against one candidate, the smallest node it
-shares a key with, which ties a large group together by one link a node. Then the nodes of a
-key that are not yet of one group meet with their sets in one task, which searches from node
-to node and gives one link per group reached: pairs that are not similar are never rows. A
-key with more nodes than ``RUN`` or ``RUN_BYTES`` is cut into blocks that meet two by two.
+Texts with the same set are one node, with a SimHash fingerprint of the set. Fingerprints within
+3 bits are found by the covering masks of ``simhash`` without loss, and their nodes are the first
+candidates. A pair at 0.8 differs in some 10 bits, which no covering of 64 bits reaches. So two
+nodes are candidates too if they share one of ``BANDS`` keys, each of ``ROWS`` MinHash values: at
+similarity s a pair shares none with probability (1 - s**ROWS)**BANDS, which is 5 in a million at
+0.8 and less above. Every link is checked on the whole sets. First each node is checked against
+its links by fingerprint and one candidate more, the smallest node it shares a key with, which
+ties a large group together by few links a node. Then the nodes of a key that are not yet of one
+group meet with their sets in one task, which searches from node to node and gives one link per
+group reached: pairs that are not similar are never rows. A key with more nodes than ``RUN`` or
+``RUN_BYTES`` is cut into blocks that meet two by two.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskengine.llm.components import components
 from riskengine.llm.frames import keyed, map_batches, stored
+from riskengine.llm.simhash import links as simhash_links, majority
 from riskengine.llm.tokens import Words, mix, words
 
 SHINGLE = 5
@@ -80,6 +84,9 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(bounds)
             has = size > 0
             keys = band_keys(h, bounds) if has.any() else np.zeros((0, BANDS), np.int64)
+            fp = np.zeros(len(size), dtype=np.uint64)
+            if has.any():
+                fp[has] = majority(h, bounds[:-1][has])
             offsets = np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32)
             part = batch.slice(done, len(size))
             done += len(size)
@@ -89,9 +96,10 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     part.column("key"),
                     pa.array([_node(h[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.int64()),
                     pa.array(size.astype(np.int64)),
+                    pa.array(fp.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
                 ],
-                ["doc_id", "key", "node", "size", "bands"],
+                ["doc_id", "key", "node", "size", "fp", "bands"],
             )
 
 
@@ -200,20 +208,35 @@ def _met(named: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return pair.join(sets, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b): one pair per link of ``simhash.links``, and each node with the smallest one of its fingerprint.
+
+    ``nodes``: (node, size, fp); nodes without shingles are left out.
+    """
+    marked = nodes.filter("size > 0").select("node", "fp")
+    least = stored(marked.groupBy("fp").agg(F.min("node").alias("least")), "node-fingerprints")
+    alike = marked.join(least, "fp").filter("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    a, b = (least.select(F.col("fp").alias(c), F.col("least").alias(f"node_{c}")) for c in "ab")
+    near = simhash_links(least.select("fp")).join(a, "a").join(b, "b")
+    return alike.union(near.select(F.least("node_a", "node_b"), F.greatest("node_a", "node_b"))).distinct()
+
+
 def roots(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the nodes that have a near duplicate.
 
-    ``nodes``: (node, key, size, bands); ``texts``: (key, text) with the text of each key.
+    ``nodes``: (node, key, size, fp, bands); ``texts``: (key, text) with the text of each key.
     """
     bands = nodes.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1").drop("n")
     held = stored(bands.join(shared, "band"), "shared-bands")
-    wanted = nodes.join(held.select("node").distinct(), "node", "left_semi").select("node", "key")
+    near = stored(simhash_pairs(nodes), "simhash-pairs")
+    asked = held.select("node").union(near.select("a")).union(near.select("b")).distinct()
+    wanted = nodes.join(asked, "node", "left_semi").select("node", "key")
     found = texts.join(wanted, "key").select("node", "text")
     sets = stored(map_batches(found, _sets, "node bigint, own binary").dropDuplicates(["node"]), "sets")
 
     first = held.filter("least <> node").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
-    links = stored(_true_links(first, sets), "links")
+    links = stored(_true_links(near.union(first).distinct(), sets), "links")
     tied = components(links)
     named = held.select("band", "node").join(tied, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     named = stored(named, "named")
@@ -230,10 +253,10 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     texts = keyed(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key bigint, node bigint, size bigint, bands array<bigint>"
+    schema = f"doc_id {id_type}, key bigint, node bigint, size bigint, fp bigint, bands array<bigint>"
     marked = map_batches(texts, _marks, schema)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    same = [F.first(c).alias(c) for c in ("size", "bands")]
+    same = [F.first(c).alias(c) for c in ("size", "fp", "bands")]
     nodes = marked.groupBy("node").agg(F.min(place).alias("place"), *same).withColumn("key", F.col("place.key"))
     nodes = stored(nodes, "nodes")
     grouped = nodes.select("node", "place").join(roots(nodes, texts.select("key", "text")), "node", "left")

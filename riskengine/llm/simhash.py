@@ -58,6 +58,14 @@ def _spaced(w: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return out.tobytes(), start, start + size
 
 
+def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of runs of hashes that begin at ``first``: a bit is set if it is set in over half of a run."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
+    sums = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    count = np.diff(np.append(first, len(hashes)))
+    return np.packbits((2 * sums > count[:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8").ravel()
+
+
 def fingerprints_of(w: Words, shingle: int = SHINGLE) -> np.ndarray:
     """64-bit fingerprint of each text: a bit is set if it is set in over half of the shingles' hashes."""
     n = np.diff(w.first)
@@ -73,10 +81,7 @@ def fingerprints_of(w: Words, shingle: int = SHINGLE) -> np.ndarray:
     last = at + np.repeat(np.minimum(n, shingle), count) - 1
     digest = xxhash.xxh64_intdigest
     hashes = [digest(body[a:b], SEED) for a, b in zip(start[at].tolist(), end[last].tolist())]
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
-    sums = np.add.reduceat(bits, first[has], axis=0, dtype=np.int32)
-    set_bits = (2 * sums > count[has][:, None]).astype(np.uint8)
-    out[has] = np.packbits(set_bits, axis=1, bitorder="little").view("<u8").ravel()
+    out[has] = majority(np.array(hashes, dtype=np.uint64), first[has])
     return out
 
 

@@ -132,3 +132,37 @@ def test_links_in_run_connect_what_all_pairs_connect(seed):
     every = [(a, b) for a, b in itertools.combinations(range(25), 2) if R.similar(sets[a], sets[b])]
     found = list(zip(*R.links_in_run(np.arange(25), root, sets)))
     assert merged(found) == merged(every) and len(found) < 25 and set(map(frozenset, found)) <= set(map(frozenset, every))
+
+
+def test_simhash_alone_ties_what_lies_within_its_bits(spark):
+    """Without MinHash keys the nodes are tied by fingerprints at 3 bits or fewer, checked on the sets."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = {}
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+        for edits in (0, 1, 1, 2):
+            own = list(base)
+            for _ in range(edits):
+                own[rng.randrange(600)] = f"x{rng.randrange(10**6)}"
+            texts[len(texts)] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    keyed = R.keyed(docs)
+    schema = "doc_id bigint, key bigint, node bigint, size bigint, fp bigint, bands array<bigint>"
+    nodes = R.map_batches(keyed, R._marks, schema).withColumn("bands", F.slice("bands", 1, 0)).cache()
+    rows = nodes.collect()
+    root = {r.node: r.node for r in rows}
+
+    def top(x):
+        return x if root[x] == x else top(root[x])
+
+    sets = {r.node: shingles(texts[r.doc_id]) for r in rows}
+    for x, y in itertools.combinations(rows, 2):
+        both = len(sets[x.node] & sets[y.node])
+        if ((x.fp ^ y.fp) % (1 << 64)).bit_count() <= 3 and 5 * both >= 4 * (len(sets[x.node]) + len(sets[y.node]) - both):
+            low, high = sorted((top(x.node), top(y.node)))
+            root[high] = low
+    expected = {n: top(n) for n in root}
+    found = {r.node: r.root for r in R.roots(nodes, keyed.select("key", "text")).collect()}
+    assert {n: found.get(n, n) for n in root} == expected and len(set(expected.values())) < 40
