@@ -307,6 +307,52 @@ def test_stores_take_no_more_memory_than_they_count():
         values = {id(v): v for v in store.values()}.values()
         assert 100 < len(store) and sys.getsizeof(store) + sum(map(taken, store)) + sum(map(taken, values)) <= 1.1 * store.size
 
+def test_frequent_words_are_encoded_once_though_the_store_starts_again():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = chunk_bpe.Encoder(f.read())
+    between = f" {encoder.mark[0]} " if getattr(encoder, "mark", None) else None
+    alone = Counter()
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch(self, texts, **how):
+            alone.update(w for t in texts for w in (t.split(between) if between else [t]) if " " not in w)
+            return self.tokenizer.encode_batch(texts, **how)
+
+    Counting.encode_batch_fast = Counting.encode_batch
+    expected = encoder.tokenizer.encode
+    encoder.tokenizer, encoder.plain = Counting(encoder.tokenizer), Counting(getattr(encoder, "plain", None))
+    encoder.words = chunk_bpe.Store(100_000)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdeghinorst\u00e9", k=8))
+    often = [word() for _ in range(50)]
+    for _ in range(40):
+        parts = often + [word() for _ in range(150)]
+        rng.shuffle(parts)
+        [(ids, _)] = chunk_bpe.encoded(pa.array([" ".join(parts).encode()], pa.binary()), encoder)
+        assert ids == np.array(expected(" ".join(parts), add_special_tokens=False).ids, "<u4").tobytes()
+    assert all(alone[w] == 1 for w in often) and len(encoder.words) < 600
+
+
+def test_words_side_by_side_are_encoded_as_alone():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = chunk_bpe.Encoder(f.read())
+    tokenizer, mark = Tokenizer.from_file(path), encoder.mark[0]
+    odd = [mark, mark.upper(), f"{mark},{mark}", f"{mark} {mark}", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|endoftext|>y", "It's", "'S", "a  b", "A\tb", "a\n b"]
+    odd += ["", "\u0301a", "e\u0301", "\u212b", "\u0130", "\u03a3", "\x00", "\x1c", "\x85", "\u3000", "(987)", "12.5%", "\U0001f600!", "The", "ZEBRA"]
+    texts = [t.encode() for x in odd for t in (x, "of", "Plain")]
+    given = texts * 3 + [b"plain"] * 70
+    assert encoder.side_by_side(given) == [np.array(tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in given]
+
+
 @pytest.mark.parametrize("together", [C.ITEMS, 1])
 def test_items_of_a_text_in_several_groups(spark, tiny_dir, together, monkeypatch):
     monkeypatch.setattr(C, "ITEMS", together)
