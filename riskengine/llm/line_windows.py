@@ -68,17 +68,15 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     are unchanged; a text whose lines all go is left empty. A window that repeats within one
     text loses its later places too. Nulls sort first among ids when the first place is chosen.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(text_col).alias("body"),
-        row_key(id_col, text_col).alias("k"),
-    )
+    # The text travels in the row only: a second copy beside it would be shuffled and sorted too.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("k"))
     joined = rows.join(covered_lines(docs, id_col, text_col), "k", "left")
-    lines = _lines(F.col("body"))
+    body = F.col(f"row.{text_col}")
+    lines = _lines(body)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False))), "\n")
     return joined.select(
         "row",
-        F.when(F.col("gone").isNull(), F.col("body")).otherwise(kept).alias("kept_text"),
+        F.when(F.col("gone").isNull(), body).otherwise(kept).alias("kept_text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
     )

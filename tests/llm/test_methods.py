@@ -419,3 +419,13 @@ def test_lines_of_a_long_repeated_text(spark):
     assert (found[1].kept_text, found[1].n_removed) == (passage, 0)
     assert (found[2].kept_text, found[2].n_removed) == ("own\nlast", 60_000)
     assert (found[3].kept_text, found[3].n_lines) == ("line 7\nline 8", 2)
+
+
+def test_rows_meet_their_covered_lines_with_one_copy_of_the_text(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nc")], "doc_id bigint, text string")
+    node = remove_repeated_windows(docs)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    output = node.children().head().output()
+    types = [output.apply(i).dataType().json() for i in range(output.size())]
+    assert sum(t.count('"string"') for t in types) == 1
